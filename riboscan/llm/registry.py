@@ -1,9 +1,17 @@
 """Queries of the subpackage, and the SQL of those that SQL can express."""
 
+from riboscan.llm.decontaminate import op8_latent_decontamination
 from riboscan.llm.near_dedup import OP6_SQL, op6_minhash_components
+from riboscan.llm.packing import op2_length_buckets
+from riboscan.llm.quality import op3_rule_ensemble
+from riboscan.llm.secrets import op4_secret_automaton
 
 QUERIES = {
+    "op2_length_buckets": op2_length_buckets,
+    "op3_rule_ensemble": op3_rule_ensemble,
+    "op4_secret_automaton": op4_secret_automaton,
     "op6_minhash_components": op6_minhash_components,
+    "op8_latent_decontamination": op8_latent_decontamination,
 }
 
 SQL = {
