@@ -26,6 +26,11 @@ class BlockedBloom:
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
+    @classmethod
+    def of_ids(cls, ids: DataFrame) -> BlockedBloom:
+        """From the one column of ``ids``; counts them first."""
+        return cls.build(ids.select(F.xxhash64(ids.columns[0]).alias("h")), ids.count())
+
     @staticmethod
     def size(keys: int) -> int:
         blocks = 16
@@ -57,8 +62,8 @@ class BlockedBloom:
             out &= ((rows[:, i] >> bit) & np.uint64(1)).astype(bool)
         return out
 
-    def maybe(self, df: DataFrame, key: str, schema: str) -> DataFrame:
-        """Rows of ``df`` whose key may be in the filter; schema: of ``df``."""
+    def maybe(self, df: DataFrame, key: str, hit: bool = True) -> DataFrame:
+        """Rows of ``df`` whose key may be in the filter, or (``hit`` false) surely isn't."""
         names = df.columns
         shared = df.sparkSession.sparkContext.broadcast(self.bits)
 
@@ -66,6 +71,6 @@ class BlockedBloom:
             bloom = BlockedBloom(shared.value)
             for batch in batches:
                 h = np.asarray(batch.column("_h")).astype(np.int64)
-                yield batch.select(names).filter(pa.array(bloom.hit(h)))
+                yield batch.select(names).filter(pa.array(bloom.hit(h) == hit))
 
-        return df.withColumn("_h", F.xxhash64(key)).mapInArrow(probe, schema)
+        return df.withColumn("_h", F.xxhash64(key)).mapInArrow(probe, df.schema)

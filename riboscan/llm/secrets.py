@@ -213,7 +213,8 @@ def op4_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda x: x["kind"].isin([r.kind for r in BASE]))
     text = lambda spans: F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
-    counts = [F.size(F.filter("found", lambda x, k=r.kind: x["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in BASE]
+    count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [count(r.kind) for r in BASE]
     return found.select("doc_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("found")).alias("spans"))
 
 
