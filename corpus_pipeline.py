@@ -8,11 +8,10 @@ rest is packed into batches.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riboscan.llm.core import Workspace, table
 from riboscan.llm.decontaminate import drop_leaks
-from riboscan.llm.near_dedup import near_duplicates
+from riboscan.llm.near_dedup import drop_near_duplicates
 from riboscan.llm.packing import pack
 from riboscan.llm.quality import keep_good
 from riboscan.llm.secrets import redact_secrets
@@ -26,13 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a five-word shingle similarity of 0.8 or more: that with the smallest doc_id.
 
-    Rows that repeat a kept doc_id all stay, as do null doc_ids. The ids to
-    drop go through an anti-join; the texts of unlinked documents aren't moved
-    by it beyond that.
+    Rows that repeat a kept doc_id all stay, as do null doc_ids.
     """
-    out = near_duplicates(spark, docs, k=5, percent=80)
-    gone = out.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return drop_near_duplicates(spark, docs, k=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,16 +5,14 @@
    key per band.
 2. Documents with equal sets form a class; only its smallest doc_id goes on, so
    a group of exact copies costs one row.
-3. In each bucket (documents with the same band key) a random member is the
-   hub; every other member is a candidate with the hub only. Hubs differ by
-   bucket, so a large group is tied together through many hubs.
+3. In each bucket (documents with the same band key) one member is the hub;
+   every other member is a candidate with the hub only, so a hot bucket adds a
+   row per member and not one per pair.
 4. Candidates are verified by signature agreement, then by their full sets.
-5. Components by alternating large-star and small-star. Buckets that still
-   hold several components get their remaining pairs between components
-   verified as well, so no link found by a bucket is lost.
-
-All steps are equi-joins and map-side-combined aggregates on narrow rows; a
-hot bucket adds a row per member, not a pair per two members.
+5. Components by alternating large-star and small-star. Buckets that still hold
+   several components are verified in full between components, so no link that a
+   bucket found is lost: pair by pair in buckets of at most HOT members, and in
+   blocks of documents in larger ones, where no pair becomes a row.
 """
 
 from __future__ import annotations
@@ -34,6 +32,10 @@ from riboscan.llm.textkit import Words, mix, shingles, slices, text_bytes
 SIGNED = "doc_id long, n_shingles long, fp binary, sig binary, keys array<long>"
 #: Members of a hub that are verified in one group.
 GROUP = 256
+#: Rounds in which a bucket's members are compared with one hub; after them, the pairs left between components.
+STAR_ROUNDS = 1
+#: Buckets left with more members are compared in blocks of BLOCK by BLOCK documents, others pair by pair.
+HOT, BLOCK = 16, 256
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,8 +119,8 @@ def _linked(spark: SparkSession, ws: Workspace, pairs: DataFrame, docs: DataFram
     sizes = pairs.groupBy("a").agg(F.count("*").alias("n"))
     dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / GROUP)).cast("int").alias("part"))
     roles = ws.keep(dealt.select(F.col("b").alias("doc_id"), "a", "part", F.lit(False).alias("hub")).union(dealt.select(F.col("a").alias("doc_id"), "a", "part", F.lit(True).alias("hub")).distinct()), f"{name}-roles")
-    needed = BlockedBloom.build(roles.select(F.xxhash64("doc_id").alias("h")), roles.count())
-    texts = needed.maybe(docs.filter("doc_id is not null").select("doc_id", "text"), "doc_id", "doc_id long, text string")
+    needed = BlockedBloom.of_ids(roles.select("doc_id"))
+    texts = needed.maybe(docs.filter("doc_id is not null").select("doc_id", "text"), "doc_id")
     rows = roles.join(texts, "doc_id").select("a", "part", "hub", "doc_id", "text")
 
     def verify(group: pa.Table) -> pa.Table:
@@ -141,27 +143,74 @@ def _linked(spark: SparkSession, ws: Workspace, pairs: DataFrame, docs: DataFram
     return out
 
 
+def _linked_blocks(spark: SparkSession, ws: Workspace, hot: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """Links between components of documents that meet in hot buckets; None without such buckets.
+
+    Documents tied by hot buckets form a tangle, which is cut into parts of
+    about BLOCK. Each two parts of a tangle meet in one group, which compares
+    their full sets and yields the links alone.
+    """
+    least = hot.groupBy("key").agg(F.min("doc_id").alias("b"))
+    ties = ws.keep(hot.join(least, "key").select(F.col("doc_id").alias("a"), "b").distinct(), "ties")
+    if not ties.limit(1).count():
+        return None
+    tangles = components(spark, ws, ties, "tangles")
+    members = hot.select(F.col("doc_id").alias("id"), F.col("comp").alias("own")).distinct().join(tangles.withColumnRenamed("comp", "tangle"), "id")
+    parts = members.groupBy("tangle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    members = ws.keep(members.join(parts, "tangle").select(F.col("id").alias("doc_id"), "own", "tangle", "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")), "members")
+    texts = BlockedBloom.of_ids(members.select("doc_id")).maybe(docs.filter("doc_id is not null").select("doc_id", "text"), "doc_id")
+    met = members.join(texts, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = met.select("tangle", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "doc_id", "own", "text")
+
+    def verify(group: pa.Table) -> pa.Table:
+        ids, own, part = (group.column(c).to_numpy() for c in ("doc_id", "own", "part"))
+        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        data, off = text_bytes(group.column("text"))
+        sets: list[np.ndarray] = []
+        for a, b in slices(off):
+            w = Words(data[off[a] : off[b]], off[a : b + 1] - off[a])
+            sets += shingles(w.hashes(), w.of, k)
+        size = np.array([len(s) for s in sets])
+        right = np.flatnonzero(part == high)
+        values = np.concatenate([sets[j] for j in right]) if len(right) else np.zeros(0, np.uint64)
+        owner = np.repeat(right, size[right])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        x, y = [], []
+        for i in np.flatnonzero(part == low):
+            first, last = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+            n = last - first
+            at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(sets))
+            j = np.flatnonzero((100 * both >= percent * (size[i] + size - both)) & (both > 0) & (own != own[i]))
+            x += [ids[i]] * len(j)
+            y += ids[j].tolist()
+        return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
+
+    return ws.keep(met.groupBy("tangle", "low", "high").applyInArrow(verify, "a long, b long").distinct(), "links-hot")
+
+
 def components(spark: SparkSession, ws: Workspace, links: DataFrame, name: str) -> DataFrame:
     """(id, comp): the smallest id that each end of a link reaches.
 
     Alternating large-star and small-star; the edge table is written after
-    each round, and two equal rounds end it.
+    each round. It is done when each id has one edge to a smaller one at most
+    and none of those has an edge to a smaller one itself.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    before, i = None, 0
-    while True:
+    i, done = 0, False
+    while not done:
         both = edges.union(edges.select(F.col("v"), F.col("u")).toDF("u", "v"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         small_min = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_min, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         edges = ws.keep(small, f"{name}-{i}")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        roles = edges.select(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(edges.select("v", F.lit(0), F.lit(1)))
+        done = not roles.groupBy("x").agg(F.sum("child").alias("child"), F.max("parent").alias("parent")).filter("child > 1 or child = 1 and parent = 1").limit(1).count()
         if i:
             ws.drop(f"{name}-{i - 1}")
-        if now == before or not now[0]:
-            break
-        before, i = now, i + 1
+        i += 1
     return edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(edges.select(F.col("v"), F.col("v")).distinct())
 
 
@@ -184,25 +233,48 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     reps = ws.keep(full.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
     alone = full.join(reps.select(F.col("rep").alias("doc_id"), F.col("fp").alias("rep_fp")), "doc_id").filter("fp = rep_fp")
     keyed = ws.keep(alone.select("doc_id", F.explode("keys").alias("key")), "keyed")
-    hubs = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("hub")).filter("n > 1").select("key", "hub")
-    crowded = ws.keep(keyed.join(hubs, "key"), "crowded")
+    crowd = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    placed = ws.keep(keyed.join(crowd, "key").withColumn("comp", F.col("doc_id")), "placed-0")
     ws.drop("keyed")
-    stars = crowded.filter("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    short = full.select("doc_id", "sig")
-    tested = ws.keep(_agreeing(stars, short, percent / 100), "tested")
-    links = _linked(spark, ws, tested, docs, k, percent, "links")
-    comps = components(spark, ws, links, "first")
-    # pairs between components that a bucket still holds
-    placed = crowded.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
-    split = placed.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most").select("key")
-    left = ws.keep(placed.join(split, "key"), "left")
-    x, y = left.toDF("key", "a", "comp_a"), left.toDF("key", "b", "comp_b")
-    rest = x.join(y, "key").filter("comp_a < comp_b").select("a", "b").distinct()
-    rest = ws.keep(_agreeing(rest, short, percent / 100).join(tested, ["a", "b"], "left_anti").join(tested.toDF("b", "a"), ["a", "b"], "left_anti"), "rest")
-    if rest.limit(1).count():
-        links = links.union(_linked(spark, ws, rest, docs, k, percent, "more-links"))
-        comps = components(spark, ws, links, "second")
-    ws.drop("crowded", "left", "tested", "rest")
+    short, tested, links, comps = full.select("doc_id", "sig"), None, None, None
+    for i in range(STAR_ROUNDS + 1):
+        found = None
+        if i < STAR_ROUNDS:
+            # one order for all buckets at first, so that a large group has few hubs; then another for each bucket
+            rank = F.xxhash64("doc_id") if i == 0 else F.xxhash64("doc_id", "key", F.lit(i))
+            hubs = placed.groupBy("key").agg(F.min_by(F.struct("doc_id", "comp"), rank).alias("hub"))
+            pairs = placed.join(hubs, "key").filter("comp <> hub.comp").select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b"))
+        else:
+            size = placed.groupBy("key").agg(F.count("*").alias("n"))
+            hot = placed.join(size.filter(F.col("n") > HOT), "key").drop("n")
+            found = _linked_blocks(spark, ws, hot, docs, k, percent)
+            if found is not None:
+                links = found if links is None else links.union(found)
+            few = placed.join(size.filter(F.col("n") <= HOT).select("key"), "key")
+            pairs = few.toDF("key", "a", "comp_a").join(few.toDF("key", "b", "comp_b"), "key").filter("comp_a < comp_b").select("a", "b")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = ws.keep(pairs, f"pairs-{i}")
+        close = ws.keep(_agreeing(pairs, short, percent / 100), f"close-{i}")
+        if close.limit(1).count():
+            found = _linked(spark, ws, close, docs, k, percent, f"links-{i}")
+            links = found if links is None else links.union(found)
+        if links is not None and (i == STAR_ROUNDS or found is not None):
+            comps = components(spark, ws, links, f"comps-{i}")
+        if i == STAR_ROUNDS:
+            break
+        tested = pairs if tested is None else tested.union(pairs)
+        now = placed.select("key", "doc_id")
+        now = now.withColumn("comp", F.col("doc_id")) if comps is None else now.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
+        split = now.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most").select("key")
+        placed = ws.keep(now.join(split, "key"), f"placed-{i + 1}")
+        ws.drop(f"placed-{i}")
+        if not placed.limit(1).count():
+            break
+    ws.drop(*[f"{n}-{i}" for n in ("pairs", "close", "placed") for i in range(STAR_ROUNDS + 1)])
+    if comps is None:
+        comps = spark.createDataFrame([], "id long, comp long")
     by_fp = reps.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("comp", "rep").alias("comp"))
     out = sigs.select("doc_id", "n_shingles", "fp").join(by_fp, "fp", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("comp", "doc_id"))
@@ -210,6 +282,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the documents that aren't the first of their component, all columns as they are.
+
+    Only rows that a fixed-size Bloom filter of the ids to drop may hold go
+    through the exact anti-join; the others' texts aren't shuffled. Rows with a
+    null doc_id and rows that repeat a kept doc_id stay.
+    """
+    ws = Workspace(spark, "neardup-drop")
+    out = near_duplicates(spark, docs, k, percent)
+    gone = ws.keep(out.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    bloom = BlockedBloom.of_ids(gone)
+    return bloom.maybe(docs, "doc_id", hit=False).union(bloom.maybe(docs, "doc_id").join(gone, "doc_id", "left_anti").select(docs.columns))
+
+
 def op6_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"), k=2, percent=80)
 

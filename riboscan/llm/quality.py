@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riboscan.llm.bloom import BlockedBloom
 from riboscan.llm.core import Workspace, table
 from riboscan.llm.textkit import SPACES, Words, byte_set, hash_word, mix, slices, text_bytes
 
@@ -252,10 +253,14 @@ def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Da
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose score is 0.5 or more, all their columns as they are."""
+    """Rows of ``docs`` whose score is 0.5 or more, all their columns as they are.
+
+    Statistics for learning are taken of the rows that a fixed-size Bloom
+    filter of the labelled ids lets pass; ``learn`` joins them exactly.
+    """
     ws = Workspace(spark, "quality")
     known = labels.filter("quality is not null").select("doc_id").distinct()
-    stats = ws.keep(with_statistics(docs.select("doc_id", "text").join(known, "doc_id", "left_semi"), ["doc_id", "text"]).drop("text"), "stats")
+    stats = ws.keep(with_statistics(BlockedBloom.of_ids(known).maybe(docs.select("doc_id", "text"), "doc_id"), ["doc_id", "text"]).drop("text"), "stats")
     score = learn(stats, labels).column()
     return with_statistics(docs, docs.columns).filter(score >= 0.5).drop("_stats")
 
