@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
 def trim_point(q: Column, n: Column, window: int, least: int) -> Column:
-    """First i < n - window whose window of scores has a mean under ``least``; null without one. The last full window isn't tested."""
-    at = F.when(n > window, F.sequence(F.lit(0), F.greatest(n - window - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.get(F.filter(at, lambda i: F.aggregate(F.slice(q, i + 1, window), F.lit(0), lambda a, x: a + x) < least * window), F.lit(0))
+    """First i < n - window whose window of scores has a mean under ``least``; null without one. The last full window isn't tested.
+
+    The window sums are ``window`` shifted arrays added up, so no lambda
+    evaluates ``q`` again for each place.
+    """
+    m = F.greatest(n - window, F.lit(0))
+    sums = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [F.slice(q, k + 1, m) for k in range(window)])
+    first = F.array_position(F.transform(sums, lambda x: x < least * window), F.lit(True))
+    return F.when(first > 0, (first - 1).cast("int"))
 
 
 def trim_quality(df: DataFrame, seq: str, q: str, window: int = 5, least: int = 20, min_length: int = 25) -> DataFrame:
