@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riboscan.llm.automaton import Automaton
-from riboscan.llm.core import table
+from riboscan.llm.core import small_batches, table
 from riboscan.llm.textkit import slices, text_bytes
 
 
@@ -178,6 +178,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     ``n_chars``, where there is one, follows the text. Rows without secrets
     and null texts stay as they are.
     """
+    small_batches(docs.sparkSession)
     columns = docs.columns
     schema = docs.schema
     at = columns.index("text")
