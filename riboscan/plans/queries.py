@@ -12,6 +12,7 @@ from riboscan.operators import depth as D
 from riboscan.operators import normalize as N
 from riboscan.operators import reads as R
 from riboscan.operators import summary as A
+from riboscan.operators import targets as T
 from riboscan.plans import samples as P
 
 QUERIES, SQL = {}, {}
@@ -384,3 +385,42 @@ def target_split(spark, d):
 def scale_by_class(spark, d):
     factor = F.element_at(F.create_map(*[F.lit(x) for kv in {"A": 1.2, "C": 0.8, "G": 1.1, "U": 0.9}.items() for x in kv]), F.upper("nt"))
     return P.profile(spark, d).select("rna", "pos", r6(F.col("reactivity") * factor, "scaled"))
+
+
+HEX, DNA = "0123456789abcdef", "ACGTACGTACGTACGT"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, translate(md5(p_name || p_partkey), '{HEX}', '{DNA}') AS s FROM part),
+p AS (SELECT p_partkey, s, substr(s, 3, 8) AS fw, substr(s, 20, 9) AS rc FROM t), f AS (SELECT *, strpos(s, fw) AS a, strpos(s, rc) AS b FROM p),
+g AS (SELECT *, CASE WHEN strpos(substr(s, a + 1), fw) = 0 THEN CAST(a AS INT) - 1 END AS x, CASE WHEN strpos(substr(s, b + 1), rc) = 0 THEN CAST(b AS INT) - 1 END AS y FROM f)
+SELECT p_partkey AS rna, x AS fw_left, x + 7 AS fw_right, y AS rv_left, y + 8 AS rv_right FROM g""")
+def primer_location(spark, d):
+    seq = F.translate(F.md5(F.concat("p_name", F.col("p_partkey").cast("string"))), HEX, DNA)
+    t = P.read(spark, d, "part").select(F.col("p_partkey").alias("rna"), seq.alias("seq"))
+    primers = t.select("rna", F.lit(0).alias("idx"), F.substring("seq", 3, 8).alias("fw_seq"), S.reverse_complement(F.substring("seq", 20, 9)).alias("rv_seq"))
+    return T.locate_primers(t, primers, strict=False).select("rna", "fw_left", "fw_right", "rv_left", "rv_right")
+
+
+TARGET = "ACGU" * 25
+
+
+@query(f"""WITH v AS (SELECT l_orderkey AS rna, l_linenumber * 10 AS "left", l_linenumber * 10 + 1 + CAST(min(l_partkey) % 3 AS INT) AS "right", substr('ACGTACGT', l_linenumber, CAST(min(l_suppkey) % 4 AS INT)) AS seq FROM lineitem GROUP BY 1, l_linenumber),
+w AS (SELECT *, coalesce(lag("right") OVER (PARTITION BY rna ORDER BY "left"), 0) AS done FROM v),
+o AS (SELECT rna, string_agg(substr('{TARGET}', done + 1, "left" + 1 - done) || seq, '' ORDER BY "left") || substr('{TARGET}', max("right") + 1) AS seq, CAST(count(*) AS INT) AS n FROM w GROUP BY 1)
+SELECT o_orderkey AS rna, translate(coalesce(seq, '{TARGET}'), 'U', 'T') AS seq, coalesce(n, 0) AS n_corrections FROM orders LEFT JOIN o ON o_orderkey = rna""")
+def correct_sequences(spark, d):
+    li = P.read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("rna"), "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
+    left = F.col("l_linenumber") * 10
+    v = li.select("rna", left.alias("left"), (left + 1 + F.col("p") % 3).cast("int").alias("right"), F.expr("substring('ACGTACGT', l_linenumber, CAST(s % 4 AS INT))").alias("seq"))
+    return T.correct_sequence(P.read(spark, d, "orders").select(F.col("o_orderkey").alias("rna"), F.lit(TARGET).alias("seq")), v)
+
+
+@query(f"""WITH r AS (SELECT o_orderkey AS read_id, CAST(o_custkey % 20 AS INT) AS a, md5(CAST(o_orderkey AS VARCHAR)) AS q, CAST(o_custkey % 45 AS INT) AS b, md5(CAST(o_custkey AS VARCHAR)) AS u FROM orders),
+e AS (SELECT *, unnest(range(least(a, b), greatest(a, b) + 32)) AS p FROM r),
+c AS (SELECT read_id, p, CASE WHEN p >= a AND p < a + 32 THEN substr(q, CAST(p - a + 1 AS INT), 1) END AS x, CASE WHEN p >= b AND p < b + 32 THEN substr(u, CAST(p - b + 1 AS INT), 1) END AS y FROM e)
+SELECT read_id, string_agg(coalesce(translate(coalesce(y, x), '{HEX}', '{DNA}'), '_'), '' ORDER BY p) AS seq, string_agg(coalesce(greatest(x, y), '~'), '' ORDER BY p) AS qual FROM c GROUP BY 1""")
+def mate_base_merge(spark, d):
+    q, u = F.md5(F.col("o_orderkey").cast("string")), F.md5(F.col("o_custkey").cast("string"))
+    r = P.read(spark, d, "orders").select(F.col("o_orderkey").alias("read_id"), (F.col("o_custkey") % 20).cast("int").alias("a"), q.alias("q"), (F.col("o_custkey") % 45).cast("int").alias("b"), u.alias("u"))
+    seq, qual = T.merge_mate_bases(F.col("a"), F.translate("q", HEX, DNA), F.col("q"), F.col("b"), F.translate("u", HEX, DNA), F.col("u"))
+    return r.select("read_id", seq.alias("seq"), qual.alias("qual"))
