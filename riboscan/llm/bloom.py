@@ -49,8 +49,8 @@ class BlockedBloom:
         rows = hashes.filter(h.isNotNull()).select(block.alias("block"), *[m.alias(f"w{i}") for i, m in enumerate(masks)])
         rows = rows.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
         bits = np.zeros((blocks, WORDS), np.uint64)
-        for row in rows.toLocalIterator():
-            bits[row[0]] = np.array(row[1:], np.int64).view(np.uint64)
+        found = rows.toArrow()  # one job; a row per block at most
+        bits[found.column(0).to_numpy()] = np.stack([found.column(i + 1).to_numpy() for i in range(WORDS)], axis=1).view(np.uint64)
         return cls(bits)
 
     def hit(self, h: np.ndarray) -> np.ndarray:
