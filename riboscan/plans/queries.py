@@ -401,18 +401,18 @@ def primer_location(spark, d):
     return T.locate_primers(t, primers, strict=False).select("rna", "fw_left", "fw_right", "rv_left", "rv_right")
 
 
-TARGET = "ACGU" * 25
+REPEATS = "ACGU" * 25
 
 
 @query(f"""WITH v AS (SELECT l_orderkey AS rna, l_linenumber * 10 AS "left", l_linenumber * 10 + 1 + CAST(min(l_partkey) % 3 AS INT) AS "right", substr('ACGTACGT', l_linenumber, CAST(min(l_suppkey) % 4 AS INT)) AS seq FROM lineitem GROUP BY 1, l_linenumber),
 w AS (SELECT *, coalesce(lag("right") OVER (PARTITION BY rna ORDER BY "left"), 0) AS done FROM v),
-o AS (SELECT rna, string_agg(substr('{TARGET}', done + 1, "left" + 1 - done) || seq, '' ORDER BY "left") || substr('{TARGET}', max("right") + 1) AS seq, CAST(count(*) AS INT) AS n FROM w GROUP BY 1)
-SELECT o_orderkey AS rna, translate(coalesce(seq, '{TARGET}'), 'U', 'T') AS seq, coalesce(n, 0) AS n_corrections FROM orders LEFT JOIN o ON o_orderkey = rna""")
+o AS (SELECT rna, string_agg(substr('{REPEATS}', done + 1, "left" + 1 - done) || seq, '' ORDER BY "left") || substr('{REPEATS}', max("right") + 1) AS seq, CAST(count(*) AS INT) AS n FROM w GROUP BY 1)
+SELECT o_orderkey AS rna, translate(coalesce(seq, '{REPEATS}'), 'U', 'T') AS seq, coalesce(n, 0) AS n_corrections FROM orders LEFT JOIN o ON o_orderkey = rna""")
 def correct_sequences(spark, d):
     li = P.read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("rna"), "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
     left = F.col("l_linenumber") * 10
     v = li.select("rna", left.alias("left"), (left + 1 + F.col("p") % 3).cast("int").alias("right"), F.expr("substring('ACGTACGT', l_linenumber, CAST(s % 4 AS INT))").alias("seq"))
-    return T.correct_sequence(P.read(spark, d, "orders").select(F.col("o_orderkey").alias("rna"), F.lit(TARGET).alias("seq")), v)
+    return T.correct_sequence(P.read(spark, d, "orders").select(F.col("o_orderkey").alias("rna"), F.lit(REPEATS).alias("seq")), v)
 
 
 @query(f"""WITH r AS (SELECT o_orderkey AS read_id, CAST(o_custkey % 20 AS INT) AS a, md5(CAST(o_orderkey AS VARCHAR)) AS q, CAST(o_custkey % 45 AS INT) AS b, md5(CAST(o_custkey AS VARCHAR)) AS u FROM orders),
