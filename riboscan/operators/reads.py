@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 
@@ -30,6 +34,29 @@ def trim_quality(df: DataFrame, seq: str, q: str, window: int = 5, least: int =
     return df.withColumn("trimmed", out).drop("_cut")
 
 
+def trim_quality_strings(df: DataFrame, seq: str, qual: str, score: Callable[[np.ndarray], np.ndarray], window: int = 5, least: int = 20, min_length: int = 25) -> DataFrame:
+    """As ``trim_quality``, with ``score`` of the bytes of the ASCII string ``qual``; one Arrow pass, for reads of any length."""
+    columns = df.columns
+    at, by = columns.index(seq), columns.index(qual)
+
+    def trim(s: str | None, q: str | None) -> str | None:
+        if s is None or len(s) < window:
+            return None if s is None else "N"
+        if q is None:
+            return s
+        total = np.concatenate([[0], np.cumsum(score(np.frombuffer(q.encode("ascii"), np.uint8)), dtype=np.int64)])
+        low = (total[window:-1] - total[: -window - 1])[: len(s) - window] < least * window
+        cut = int(low.argmax()) if low.any() else None
+        return s if cut is None else "N" if cut < min_length else s[:cut]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [trim(s.as_py(), q.as_py()) for s, q in zip(b.column(at), b.column(by), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*columns, "trimmed"])
+
+    return df.mapInArrow(scan, T.StructType([*df.schema.fields, T.StructField("trimmed", T.StringType())]))
+
+
 def concordant(a: dict[str, Column], b: dict[str, Column], most: int = 800) -> Column:
     """Mates (left, right, reverse, mapped): both mapped, on opposite strands, fragment in bounds, not dovetailed."""
     size = F.greatest(a["right"], b["right"]) - F.least(a["left"], b["left"])
