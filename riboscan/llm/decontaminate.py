@@ -16,6 +16,8 @@
    and the passage covers COVER of the item (of its part that a passage can hold). It is confirmed by the longest common subsequence of content
    words around it; below SURE an item's answer (its last sentence) must be
    there as well.
+5. Items with too few content words for that are found by an exact search for
+   their whole word sequence.
 
 The benchmark is a stated query set; it is taken in blocks of ITEMS items, so
 what is broadcast is bounded. Nothing about the documents is collected but sums
@@ -35,14 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riboscan.llm.core import Workspace, table
-from riboscan.llm.textkit import NOT_ALNUM, Words, slices, text_bytes
+from riboscan.llm.textkit import NOT_ALNUM, Words, mix, slices, text_bytes
 
 BLOCK = 16
 MOST_DF = 0.005
 RANK, EXTRA, ITEM_RANK = 32, 8, 512
 COSINE, COVER, SURE, LEAST, ANSWER = 0.4, 0.25, 0.8, 0.5, 0.5
 ITEMS = 512
-#: Items with fewer content words aren't looked for: too little to tell a leak from chance.
+#: Items with fewer content words are looked for by their whole word sequence only: too little to tell a paraphrase from chance.
 LEAST_CONTENT = 6
 #: A passage with fewer content words is no candidate.
 LEAST_HITS = 3
@@ -225,14 +227,58 @@ class Item:
         self.answer, self.answer_masks = len(tail), place_masks(tail)
 
 
+class Runs:
+    """Exact search for runs of words; ``wanted``: (item, place in the item, words) of each run, without words outside the vocabulary."""
+
+    def __init__(self, wanted: list[tuple[int, int, np.ndarray]]):
+        self.by_size: dict[int, tuple[np.ndarray, dict[bytes, list[tuple[int, int]]]]] = {}
+        places: dict[int, dict[bytes, list[tuple[int, int]]]] = {}
+        for j, at, words in wanted:
+            if len(words):
+                places.setdefault(len(words), {}).setdefault(words.astype(np.int64).tobytes(), []).append((j, at))
+        for n, known in places.items():
+            keys = self._hashes(np.frombuffer(b"".join(known), np.int64), np.arange(len(known)) * n, n)
+            self.by_size[n] = np.unique(keys), known
+
+    @staticmethod
+    def _hashes(ids: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """A hash of the n words from each place."""
+        out = np.zeros(len(at), np.uint64)
+        for k in range(n):
+            out = mix(out + ids[at + k].astype(np.uint64))
+        return out
+
+    def find(self, ids: np.ndarray, of: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(document, item, place in the document, place in the item, words) of every run found; hashes only pick where to look."""
+        if not self.by_size:
+            return
+        # words of the vocabulary from each place on, inside its document
+        stop = np.union1d(np.flatnonzero(ids < 0), of[1:])
+        inside = np.flatnonzero(ids >= 0)
+        room = stop[np.searchsorted(stop, inside, "right")] - inside if len(inside) else inside
+        for n, (keys, known) in self.by_size.items():
+            at = inside[room >= n]
+            h = self._hashes(ids, at, n)
+            for p in at[keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h].tolist():
+                doc = int(np.searchsorted(of, p, "right")) - 1
+                for j, place in known.get(ids[p : p + n].tobytes(), ()):
+                    yield doc, j, p - int(of[doc]), place, n
+
+
 class Search:
     """What the search over documents needs; its size depends on a block of the benchmark only."""
 
     def __init__(self, vocabulary: Vocabulary, items: list[tuple[int, np.ndarray, np.ndarray]], content: np.ndarray, idf: np.ndarray, directions: np.ndarray, rank: int = ITEM_RANK):
         self.vocabulary, self.content = vocabulary, content
-        self.items = [x for x in (Item(*i, content) for i in items) if len(x.words) >= LEAST_CONTENT]
-        rows = np.zeros((len(self.items), len(vocabulary)))
-        for r, x in zip(rows, self.items, strict=True):
+        every = [(Item(*i, content), i[1]) for i in items]
+        every.sort(key=lambda x: len(x[0].words) < LEAST_CONTENT)
+        self.items = [x for x, _ in every]
+        #: The first items have content words enough for the latent search.
+        self.latent = sum(len(x.words) >= LEAST_CONTENT for x in self.items)
+        self.runs = Runs([(j, 0, ids) for j, (_, ids) in enumerate(every) if j >= self.latent])
+        latent_items = self.items[: self.latent]
+        rows = np.zeros((self.latent, len(vocabulary)))
+        for r, x in zip(rows, latent_items, strict=True):
             np.add.at(r, x.words, 1)
         rows *= idf
         own = np.linalg.svd(rows, full_matrices=False)[2][:rank].T if len(rows) else np.zeros((len(vocabulary), 0))
@@ -241,13 +287,30 @@ class Search:
         self.vectors = (basis * (idf * content)[:, None]).astype(np.float32)
         size = np.maximum(np.linalg.norm(latent, axis=1), 1e-12)
         self.queries = (latent / size[:, None]).T.astype(np.float32)
-        self.least = (COVER * size * [min(1, 2 * BLOCK / max(1, x.n_words)) for x in self.items]).astype(np.float32)
-
-    def matches(self, ids: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float, float, int]]]:
-        """For each document its confirmed items: (cosine, share of the common subsequence, first word of the passage)."""
-        found: dict[int, dict[int, tuple[float, float, int]]] = {}
+        self.least = (COVER * size * [min(1, 2 * BLOCK / max(1, x.n_words)) for x in latent_items]).astype(np.float32)
+
+    def matches(self, ids: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float | None, float, int]]]:
+        """For each document its confirmed items: (cosine, share of the common subsequence, first word of the passage).
+
+        Items that only the search for runs finds have no cosine, the share of
+        their words that lies in runs, and the first word of the first run.
+        """
+        found: dict[int, dict[int, tuple[float | None, float, int]]] = self.latent_matches(ids, of)
+        first: dict[tuple[int, int], int] = {}
+        covered: dict[tuple[int, int], set[int]] = {}
+        for doc, j, at, place, n in self.runs.find(ids, of):
+            if j not in found.get(doc, ()):
+                first[doc, j] = min(at, first.get((doc, j), at))
+                covered.setdefault((doc, j), set()).update(range(place, place + n))
+        for (doc, j), at in first.items():
+            found.setdefault(doc, {})[j] = (None, len(covered[doc, j]) / self.items[j].n_words, at)
+        return found
+
+    def latent_matches(self, ids: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float | None, float, int]]]:
+        """The matches of the latent search."""
+        found: dict[int, dict[int, tuple[float | None, float, int]]] = {}
         b = Blocks(ids, of, self.content)
-        if not len(b.word) or not self.items:
+        if not len(b.word) or not self.latent:
             return found
         hits = np.bincount(b.block, minlength=b.n)
         near = hits.copy()
@@ -315,8 +378,9 @@ def searches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Iter
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, cosine, lcs, start_word): a row for each document and benchmark item found in it.
 
-    Null and empty texts hold nothing, and items that are null, empty or have
-    fewer than LEAST_CONTENT content words aren't looked for. Repeated rows
+    Null and empty texts hold nothing, and items that are null or empty aren't
+    looked for. Items with fewer than LEAST_CONTENT content words are found by
+    their whole word sequence; then the cosine is null. Repeated rows
     give repeated results; a null doc_id stays null. Other columns aren't read.
     """
     out = None

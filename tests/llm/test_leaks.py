@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from riboscan.llm.decontaminate import drop_leaks, find_leaks
+from riboscan.llm.decontaminate import Runs, drop_leaks, find_leaks
 
 
 def zipf(seed):
@@ -36,3 +36,27 @@ def test_copies_of_long_items(spark):
             want.add((i, i % 8))
         texts.append(" ".join(w))
     assert found(spark, [" ".join(x[:-8]) + ". " + " ".join(x[-8:]) + "." for x in items], texts) == want
+
+
+def test_short_items_of_common_words(spark):
+    prose = zipf(7)
+    common = "the of and to in is it was for on are as with his they at be this from".split()
+    items = [["what", "so", "what"], common[:5], common[5:15], common[15:], ["rare", "word"], ["never"]]
+    rng, texts, want = random.Random(7), [], set()
+    for i in range(60):
+        w = [x for y in prose(rng.randint(30, 200)) for x in (y, rng.choice(common))]
+        if i < 30 and i % 6 < 5:
+            at = rng.randrange(len(w))
+            w[at:at] = [x.upper() for x in items[i % 6]]
+            want.add((i, i % 6))
+        texts.append(" ".join(w))
+    texts += [" ".join(items[0]), "what so", "so what what", " ".join(["x", *items[4]])]
+    want |= {(60, 0), (63, 4)}
+    assert found(spark, [" ".join(x) for x in items], texts) == want
+
+
+def test_runs_end_with_their_document():
+    runs = Runs([(0, 0, np.array([1, 2, 3])), (1, 4, np.array([2])), (2, 0, np.array([], int))])
+    ids, of = np.array([1, 2, 3, 1, 2, 3, -1, 2, 1, 2, 3]), np.array([0, 3, 5, 5, 11])
+    assert sorted(runs.find(ids, of)) == [(0, 0, 0, 0, 3), (0, 1, 1, 4, 1), (1, 1, 1, 4, 1), (3, 0, 3, 0, 3), (3, 1, 2, 4, 1), (3, 1, 4, 4, 1)]
+    assert list(runs.find(ids[:0], of[:1])) == [] and list(Runs([]).find(ids, of)) == []
