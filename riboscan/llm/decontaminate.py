@@ -16,8 +16,8 @@
    and the passage covers COVER of the item (of its part that a passage can hold). It is confirmed by the longest common subsequence of content
    words around it; below SURE an item's answer (its last sentence) must be
    there as well.
-5. Items with too few content words for that are found by an exact search for
-   their whole word sequence.
+5. RUN consecutive words of an item, or all words of a shorter item, are found
+   by an exact search, whatever the content words or the answer.
 
 The benchmark is a stated query set; it is taken in blocks of ITEMS items, so
 what is broadcast is bounded. Nothing about the documents is collected but sums
@@ -44,8 +44,10 @@ MOST_DF = 0.005
 RANK, EXTRA, ITEM_RANK = 32, 8, 512
 COSINE, COVER, SURE, LEAST, ANSWER = 0.4, 0.25, 0.8, 0.5, 0.5
 ITEMS = 512
-#: Items with fewer content words are looked for by their whole word sequence only: too little to tell a paraphrase from chance.
+#: Items with fewer content words are looked for by exact runs only: too little to tell a paraphrase from chance.
 LEAST_CONTENT = 6
+#: So many consecutive words of an item are a leak, whatever share of it they are.
+RUN = 13
 #: A passage with fewer content words is no candidate.
 LEAST_HITS = 3
 MATCHES = "array<struct<item_id:long,cosine:double,lcs:double,start_word:int>>"
@@ -275,7 +277,7 @@ class Search:
         self.items = [x for x, _ in every]
         #: The first items have content words enough for the latent search.
         self.latent = sum(len(x.words) >= LEAST_CONTENT for x in self.items)
-        self.runs = Runs([(j, 0, ids) for j, (_, ids) in enumerate(every) if j >= self.latent])
+        self.runs = Runs([(j, at, ids[at : at + RUN]) for j, (_, ids) in enumerate(every) for at in range(max(1, len(ids) - RUN + 1))])
         latent_items = self.items[: self.latent]
         rows = np.zeros((self.latent, len(vocabulary)))
         for r, x in zip(rows, latent_items, strict=True):
@@ -379,8 +381,8 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
     """(doc_id, item_id, cosine, lcs, start_word): a row for each document and benchmark item found in it.
 
     Null and empty texts hold nothing, and items that are null or empty aren't
-    looked for. Items with fewer than LEAST_CONTENT content words are found by
-    their whole word sequence; then the cosine is null. Repeated rows
+    looked for. Where only the exact search for RUN words of an item (or all, if
+    it has fewer) finds it, the cosine is null. Repeated rows
     give repeated results; a null doc_id stays null. Other columns aren't read.
     """
     out = None

@@ -60,3 +60,20 @@ def test_runs_end_with_their_document():
     ids, of = np.array([1, 2, 3, 1, 2, 3, -1, 2, 1, 2, 3]), np.array([0, 3, 5, 5, 11])
     assert sorted(runs.find(ids, of)) == [(0, 0, 0, 0, 3), (0, 1, 1, 4, 1), (1, 1, 1, 4, 1), (3, 0, 3, 0, 3), (3, 1, 2, 4, 1), (3, 1, 4, 4, 1)]
     assert list(runs.find(ids[:0], of[:1])) == [] and list(Runs([]).find(ids, of)) == []
+
+
+def test_runs_of_an_item(spark):
+    rng, prose = random.Random(9), zipf(9)
+    items = [prose(n) for n in (59, 59, 300, 40)]
+    parts = [(0, items[0][:44]), (1, items[1][20:45]), (2, items[2][100:120]), (3, items[3][3:16]), (None, items[0][:12]), (None, items[2][200:206] + ["other"] + items[2][207:213])]
+    texts, want = [], set()
+    for i in range(60):
+        w = prose(rng.randint(40, 300))
+        if i < 36:
+            item, part = parts[i % 6]
+            at = rng.randrange(len(w))
+            w[at:at] = ["Stop.", *part, "stop"]
+            if item is not None:
+                want.add((i, item))
+        texts.append(" ".join(w))
+    assert found(spark, [" ".join(x[:-9]) + ". " + " ".join(x[-9:]) + "." for x in items], texts) == want
