@@ -35,6 +35,11 @@ PATTERN = re.compile(
     r"|(?<!\w)(?P<phone>\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"
     r"|(?<![\w-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w-])"
 )
+#: Letters and digits of an IBAN by country; other countries' are taken as they stand.
+IBAN_SIZE = {
+    x[:2]: int(x[2:])
+    for x in "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30".split()
+}
 KINDS = tuple(PATTERN.groupindex)
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
@@ -85,6 +90,16 @@ def _refill(shape: str, symbols: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
+def _ends(kind: str, s: str) -> list[int]:
+    """Where a value may end in a match: an IBAN after its country's number of letters and digits, a card at any gap, others at the end."""
+    if kind == "iban" and s[:2] in IBAN_SIZE:
+        places = [i for i, c in enumerate(s, 1) if c != " "][: IBAN_SIZE[s[:2]]]
+        whole = len(places) == IBAN_SIZE[s[:2]] and not s[places[-1] : places[-1] + 1].isalnum()
+        return places[-1:] if whole else []
+    gaps = [i for i, c in enumerate(s) if not c.isdigit() and i >= 13] if kind == "card" else []
+    return [len(s), *[i for i in reversed(gaps) if sum(c.isdigit() for c in s[:i]) >= 13]]
+
+
 class Pseudonyms:
     def __init__(self, key: bytes):
         self.key = key
@@ -130,13 +145,16 @@ class Pseudonyms:
 
     def date(self, s: str, back: bool) -> str | None:
         form = "%Y-%m-%d" if s[4] == "-" else "%d.%m.%Y" if s[2] == "." else "%m/%d/%Y"
+        valid = lambda x: True
+        if form == "%m/%d/%Y" and int(s[3:5]) <= 12 < int(s[:2]):  # no month/day; nor may its pseudonym be one
+            form, valid = "%d/%m/%Y", lambda x: datetime.date.fromordinal(_FIRST + x).day > 12
         try:
             day = datetime.datetime.strptime(s, form).date().toordinal()
         except ValueError:
             return None
         if not _FIRST <= day <= _LAST:
             return None
-        return datetime.date.fromordinal(_FIRST + self._permute(f"date:{form}", _LAST - _FIRST + 1, day - _FIRST, back)).strftime(form)
+        return datetime.date.fromordinal(_FIRST + self._permute(f"date:{form}", _LAST - _FIRST + 1, day - _FIRST, back, valid)).strftime(form)
 
     def ssn(self, s: str, back: bool) -> str | None:
         real = lambda x: 0 < x // 10**6 < 900 and x // 10**6 != 666 and x // 10**4 % 100 > 0 and x % 10**4 > 0
@@ -158,8 +176,10 @@ class Pseudonyms:
         digits = re.sub(r"\D", "", s)
         if digits[0] == "0" or luhn(digits[:-1]) != int(digits[-1]):
             return None
-        n = len(digits) - 1
-        body = str(self._permute("card", 10**n, int(digits[:-1]), back, lambda x: x >= 10 ** (n - 1)))
+        n, after = len(digits) - 1, luhn(digits)
+        # the digit that could follow stays, so whether the card with digits behind it is valid too doesn't change
+        same = lambda x: x >= 10 ** (n - 1) and luhn(f"{x}{luhn(str(x))}") == after
+        body = str(self._permute(f"card:{after}", 10**n, int(digits[:-1]), back, same))
         return _refill(s, body + str(luhn(body)))
 
     def iban(self, s: str, back: bool) -> str | None:
@@ -171,18 +191,20 @@ class Pseudonyms:
 
     def replace(self, text: str, back: bool = False) -> tuple[str, list[str]]:
         """The text with every valid value replaced, and the kinds replaced, in order."""
-        kinds: list[str] = []
-
-        def one(m: re.Match) -> str:
-            out = getattr(self, m.lastgroup)(m[0], back)
-            if out is None and m.lastgroup == "phone":
-                out = self.card(m[0], back) if len(re.sub(r"\D", "", m[0])) >= 13 else None
-            if out is None:
-                return m[0]
-            kinds.append(m.lastgroup)
-            return out
-
-        return PATTERN.sub(one, text), kinds
+        kinds, parts, at, done = [], [], 0, 0
+        while m := PATTERN.search(text, at):
+            out, at = None, m.start() + 1  # where nothing is valid, the search goes on inside the match
+            for end in _ends(m.lastgroup, m[0]):
+                value = m[0][:end]
+                out = getattr(self, m.lastgroup)(value, back)
+                if out is None and m.lastgroup == "phone" and len(re.sub(r"\D", "", value)) >= 13:
+                    out = self.card(value, back)
+                if out is not None:
+                    parts += [text[done : m.start()], out]
+                    at = done = m.start() + end
+                    kinds.append(m.lastgroup)
+                    break
+        return "".join([*parts, text[done:]]), kinds
 
 
 def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
