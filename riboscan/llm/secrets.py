@@ -7,12 +7,14 @@ ends. In marked pieces, each marked rule's own automaton yields the leftmost
 longest matches, one after the other.
 
 Texts are cut into pieces only behind bytes that no rule contains, so no match
-crosses a cut.
+crosses a cut. The rule of private keys matches their first line; found keys are
+then extended over the body and the last line, across pieces.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
@@ -51,14 +53,29 @@ ADDED = (
     Rule("gcp", "", "AIza[A-Za-z0-9_-]+", 39, "AIza[A-Za-z0-9_-]"),
     Rule("stripe", "", "(sk|rk|pk)_(live|test)_[A-Za-z0-9]+", 24, "(sk|rk|pk)_(live|test)_[A-Za-z0-9]"),
     Rule("jwt", "", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 40, "eyJ[A-Za-z0-9_-]"),
-    Rule("key", "", "-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----", 27, "-----BEGIN "),
+    Rule("key", "", "-----BEGIN [A-Z0-9 ]*PRIVATE KEY( BLOCK)?-----", 27, "-----BEGIN "),
 )
 RULES = BASE + ADDED
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
+_BREAK = rb"""(?:[ \t"'+,;>|#*]*(?:\r\n|\n|\r|\\r|\\n))+[ \t"'>|#*]*"""
+_END_OF_LINE = rb"""(?=[ \t"'+,;]*(?:\r|\n|\\r|\\n|\Z))"""
+#: What follows the first line of a key without its last: fields, then lines of base64 (with written-out line ends, too) or long base64 in the same line.
+_BODY = re.compile(rb"(?:" + _BREAK + rb"[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*)*(?:" + _BREAK + rb"(?:[A-Za-z0-9+/]+={0,2}|=[A-Za-z0-9+/]{4})" + _END_OF_LINE + rb"|[ \t]*[A-Za-z0-9+/]{40,}={0,2})+(?:" + _BREAK + rb"-----END [A-Z0-9 ]*-----)?")
 #: Bytes of a piece, to the next cut.
 PIECE = 256
 
 
+def key_end(raw: bytes, start: int, end: int) -> int:
+    """Where the private key ends whose first line is ``raw[start:end]``: behind its last line, or behind its base64 where that is missing."""
+    last = b"-----END " + raw[start + 11 : end]
+    other = raw.find(b"-----BEGIN ", end)
+    found = raw.find(last, end, other if other >= 0 else len(raw))
+    if found >= 0:
+        return found + len(last)
+    body = _BODY.match(raw, end)
+    return body.end() if body else end
+
+
 class Scanner:
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
@@ -126,6 +143,10 @@ class Scanner:
                     at = end
         return out
 
+    def whole_keys(self, raw: bytes, at: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """Spans of the row that begins at ``at``, private keys with their bodies."""
+        return [(a, r, at + key_end(raw, a - at, b - at) if self.rules[r].kind == "key" else b) for a, r, b in spans]
+
     def scan(self, data: np.ndarray, off: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
         """For each row with matches: (start, rule, end) in code points of the row, in order."""
         found: dict[int, list] = {}
@@ -134,6 +155,8 @@ class Scanner:
             if spans := self.spans(data, a, b, rule_bits):
                 found.setdefault(int(np.searchsorted(off, a, "right")) - 1, []).extend(spans)
         for row, spans in found.items():
+            if any(self.rules[r].kind == "key" for _, r, _ in spans):
+                spans = self.whole_keys(data[off[row] : off[row + 1]].tobytes(), int(off[row]), spans)
             lead = np.concatenate([[0], np.cumsum((data[off[row] : off[row + 1]] & 0xC0) != 0x80)])
             found[row] = sorted((int(lead[a - off[row]]), r, int(lead[b - off[row]])) for a, r, b in spans)
         return found
