@@ -22,6 +22,12 @@ def read_fasta(spark: SparkSession, path, rna: bool = False) -> DataFrame:
     return n.select("name", checked.alias("seq")).withColumn("len", F.length("seq"))
 
 
+def write_fasta(df: DataFrame, path: str) -> None:
+    """Corrected sequences: df has name and seq; T for U, lines of 81 characters."""
+    seq = F.regexp_replace(F.translate("seq", "U", "T"), "(.{81})(?=.)", "$1\n")
+    df.orderBy("name").select(F.concat(F.lit(">"), "name", F.lit("\n"), seq)).coalesce(1).write.text(path)
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     """read_id, seq, qual. A file is read as a whole, since its four-line records have no mark to split at; empty part files give nothing."""
 
@@ -93,6 +99,15 @@ def read_shape(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path).filter(F.trim("value") != "").select((f[0].cast("int") - 1).alias("pos"), F.when(f[1].cast("double") > -999, f[1].cast("double")).alias("value"))
 
 
+def read_map(spark: SparkSession, path) -> DataFrame:
+    """pos (0-based), value, stderr, nt (U for T); numbers under -990 and ``nan`` become null, lines with fewer than four fields are an error."""
+    f = F.split(F.trim("value"), "\t")
+    rows = spark.read.text(path).select(F.when(F.size(f) >= 4, f).otherwise(F.raise_error(F.concat(F.lit("short .map line: "), "value"))).alias("f"))
+    at = lambda i: F.col("f")[i]
+    number = lambda i: F.when((at(i).cast("double") >= -990) & ~F.isnan(at(i).cast("double")), at(i).cast("double"))
+    return rows.select((at(0).cast("int") - 1).alias("pos"), number(1).alias("value"), number(2).alias("stderr"), F.translate(at(3), "T", "U").alias("nt"))
+
+
 def read_ct(spark: SparkSession, path) -> DataFrame:
     """pos (0-based), nt, paired of a pairing table; its first line is a header."""
     f = F.split(F.trim("value"), r"\s+")
