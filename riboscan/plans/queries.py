@@ -153,12 +153,13 @@ def n7_norm(spark, d):
     return p.filter("b = 'G'").join(F.broadcast(k), "rna").select("rna", "pos", F.when(F.col("nb").isNotNull() & v.isNotNull() & (v != 0), F.round(n7_log(factor, v), 6)).alias("n7"))
 
 
-@query("""WITH s AS (SELECT doc_id, substr(regexp_replace(text, '[^ -~]', '', 'g'), 1, 150) AS seq FROM documents),
-c AS (SELECT doc_id, seq, length(seq) AS n, unnest(range(0, greatest(length(seq) - 5, 0))) AS i FROM s),
-w AS (SELECT doc_id, min(i) AS cut FROM c WHERE (unicode(substr(seq, CAST(i + 1 AS INT), 1)) % 42 + unicode(substr(seq, CAST(i + 2 AS INT), 1)) % 42 + unicode(substr(seq, CAST(i + 3 AS INT), 1)) % 42 + unicode(substr(seq, CAST(i + 4 AS INT), 1)) % 42 + unicode(substr(seq, CAST(i + 5 AS INT), 1)) % 42) < 14 * 5 GROUP BY 1)
-SELECT s.doc_id, CASE WHEN length(seq) < 5 OR cut < 25 THEN 'N' WHEN cut IS NOT NULL THEN substr(seq, 1, CAST(cut AS INT)) ELSE seq END AS trimmed FROM s LEFT JOIN w ON s.doc_id = w.doc_id""")
+@query("""WITH s AS (SELECT doc_id, regexp_replace(text, '[^ -~]', '', 'g') AS seq FROM documents),
+c AS (SELECT doc_id, unnest(string_split(seq, '')) AS c, generate_subscripts(string_split(seq, ''), 1) AS i, length(seq) AS n FROM s),
+w AS (SELECT doc_id, i, n, sum(unicode(c) % 42) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS q FROM c),
+t AS (SELECT doc_id, min(i) - 1 AS cut FROM w WHERE q < 14 * 5 AND i <= n - 5 GROUP BY 1)
+SELECT s.doc_id, CASE WHEN length(seq) < 5 OR cut < 25 THEN 'N' WHEN cut IS NOT NULL THEN substr(seq, 1, CAST(cut AS INT)) ELSE seq END AS trimmed FROM s LEFT JOIN t ON s.doc_id = t.doc_id""")
 def quality_trim(spark, d):
-    """Over the whole cleaned text; its SQL still cuts it to 150 characters, so the two differ where a text is longer."""
+    """Over the whole cleaned text."""
     s = P.read(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^ -~]", "").alias("seq"))
     return R.trim_quality_strings(s, "seq", "seq", lambda q: q % 42, 5, 14, 25).select("doc_id", "trimmed")
 

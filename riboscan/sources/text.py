@@ -55,7 +55,7 @@ def write_fastq(df: DataFrame, path: str) -> None:
 
 
 def read_sam(spark: SparkSession, path, min_mapq: int = 10) -> DataFrame:
-    """Alignments with flags split, 0-based ``left`` and ``right``, tags as a map, and their category.
+    """Alignments with flags split, 0-based ``left`` and ``right``, tags as a map (the last of a repeated tag), and their category.
 
     Unmapped reads are UNMAPPED before mapping quality is looked at; lines
     with fewer than 11 fields are an error.
@@ -64,7 +64,8 @@ def read_sam(spark: SparkSession, path, min_mapq: int = 10) -> DataFrame:
     lines = spark.read.text(path).filter(~F.col("value").startswith("@") & (F.trim("value") != ""))
     lines = lines.select(F.when(F.size(f) >= 11, f).otherwise(F.raise_error(F.concat(F.lit("short SAM line: "), "value"))).alias("f"))
     at = lambda i: F.col("f")[i]
-    tags = F.when(F.size("f") > 11, F.expr("map_from_entries(array_distinct(transform(slice(f, 12, 1000), x -> struct(substring(x, 1, 2) AS k, substring(x, 6) AS v))))"))
+    tags = F.when(F.size("f") > 11, F.expr("""map_from_entries(transform(array_distinct(transform(slice(f, 12, size(f)), x -> substring(x, 1, 2))),
+        k -> struct(k, substring(element_at(filter(slice(f, 12, size(f)), x -> startswith(x, concat(k, ':'))), -1), 6))))"""))
     out = lines.select(at(0).alias("read_id"), at(1).cast("int").alias("flag"), at(2).alias("rna"), (at(3).cast("int") - 1).alias("left"), at(4).cast("int").alias("mapq"), at(5).alias("cigar"), at(9).alias("seq"), at(10).alias("qual"), tags.alias("tags"))
     category = F.when(F.col("rna") == "*", "UNMAPPED").when(F.col("mapq") < min_mapq, "LOW_MAPQ").otherwise("INCLUDED")
     right = F.when(F.col("cigar") != "*", right_target_pos(F.col("left"), F.col("cigar")))

@@ -61,3 +61,11 @@ def test_profile_files(spark, tmp_path):
 
 def test_off_target_coverage_of_nothing(spark):
     assert coverage(spark.createDataFrame([], "rna string, left int, right int"), ["rna"]).count() == 0
+
+
+def test_repeated_and_many_tags(spark, tmp_path):
+    line = ["r", "0", "x", "1", "30", "4M", "*", "0", "0", "ACGT", "IIII", "MD:Z:4", "AS:i:1", "AS:i:2"] + [f"{a}{b}:i:{i}" for i, (a, b) in enumerate((a, b) for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOP")]
+    path = tmp_path / "a.sam"
+    path.write_text("\t".join(line) + "\n")
+    tags = read_sam(spark, str(path)).first().tags
+    assert tags["AS"] == "2" and tags["MD"] == "4" and tags["zP"] == str(26 * 42 - 1) and len(tags) == 2 + 26 * 42
