@@ -123,16 +123,24 @@ class Automaton:
 
     ``step[state * classes + class_of[byte]]`` is the next state times
     ``classes``; ``accepts[state]`` has bit r set if pattern r ends there; with
-    ``search`` a match may begin at any byte.
+    ``search`` a match may begin at any byte. With ``reverse`` it reads matches
+    from their last byte to their first.
     """
 
-    def __init__(self, patterns: list[tuple[str, bool]], search: bool):
+    def __init__(self, patterns: list[tuple[str, bool]], search: bool, reverse: bool = False):
         edges: list[list] = [[]]
         ends = {}
         for r, (pattern, fold) in enumerate(patterns):
             a, b = _Parser(edges, fold).parse(pattern)
             edges[0].append((None, a))
             ends[b] = r
+        if reverse:
+            back: list[list] = [[(None, b) for b in ends], *[[] for _ in edges[1:]]]
+            firsts = {a: r for r, (_, a) in enumerate(edges[0])}
+            for s, out in enumerate(edges[1:], 1):
+                for chars, t in out:
+                    back[t].append((chars, s))
+            edges, ends = back, firsts
         sets = {s for out in edges for s, _ in out if s}
         self.alphabet = frozenset().union(*sets)
         column = [tuple(b in s for s in sets) for b in range(256)]
@@ -140,33 +148,42 @@ class Automaton:
         class_of = np.array([kinds[c] for c in column])
         sample = [int(np.flatnonzero(class_of == i)[0]) for i in range(len(kinds))]
 
-        def close(states: set[int]) -> frozenset[int]:
-            todo, seen = list(states), set(states)
+        def close(state: int) -> int:
+            """The states reached without a byte, as bits."""
+            todo, seen = [state], 1 << state
             while todo:
                 for s, t in edges[todo.pop()]:
-                    if s is None and t not in seen:
-                        seen.add(t)
+                    if s is None and not seen >> t & 1:
+                        seen |= 1 << t
                         todo.append(t)
-            return frozenset(seen)
-
-        first = close({0})
+            return seen
+
+        closed = [close(q) for q in range(len(edges))]
+        moves: list[list[tuple[int, int]]] = [[] for _ in edges]  # of each state: byte class, states reached
+        for q, out in enumerate(edges):
+            for s, t in out:
+                moves[q] += [(i, closed[t]) for i, b in enumerate(sample) if s and b in s]
+        first, again = closed[0], closed[0] if search else 0
         index, table, i = {first: 0}, [], 0
         order = [first]
         while i < len(order):
-            moves = [(s, t) for q in order[i] for s, t in edges[q] if s]
-            row = []
-            for b in sample:
-                target = close({t for s, t in moves if b in s} | ({0} if search else set()))
+            row, rest = [again] * len(sample), order[i]
+            while rest:
+                low = rest & -rest
+                for c, target in moves[low.bit_length() - 1]:
+                    row[c] |= target
+                rest ^= low
+            table.append([])
+            for target in row:
                 if target not in index:
                     index[target] = len(order)
                     order.append(target)
-                row.append(index[target])
-            table.append(row)
+                table[-1].append(index[target])
             i += 1
-        accept = [reduce(int.__or__, (1 << ends[q] for q in states if q in ends), 0) for states in order]
+        accept = [reduce(int.__or__, (1 << r for q, r in ends.items() if states >> q & 1), 0) for states in order]
         self._minimise(np.array(table), np.array(accept), class_of)
         #: No path to an accepting state leads from here (without search: the empty set).
-        self.dead = None if search else self._at.get(index.get(frozenset(), -1))
+        self.dead = None if search else self._at.get(index.get(0, -1))
 
     def _minimise(self, table: np.ndarray, accept: np.ndarray, class_of: np.ndarray) -> None:
         """Moore's partition refinement, then merges of equal byte columns."""
@@ -193,6 +210,14 @@ class Automaton:
         self.byte_class = self.class_of.tolist()
         self.accept_list = self.accepts.tolist()
 
+    def trace(self, data: bytes) -> np.ndarray:
+        """The rule bits of the state after each byte."""
+        rows, accept, state, out = self.rows, self.accept_list, 0, []
+        for c in data.translate(self.class_of.tobytes()):
+            state = rows[state][c]
+            out.append(accept[state])
+        return np.array(out, np.int64)
+
     def longest(self, data: bytes, at: int, end: int) -> int:
         """End of the longest match that begins at ``at``; -1 if none does."""
         state, found = 0, -1

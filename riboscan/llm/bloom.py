@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riboscan.llm.core import free_name
+
 #: Words of 64 bits in a block: one cache line.
 WORDS = 8
 #: Blocks at most: 16 MB. Beyond it the share of false hits grows, never a miss.
@@ -64,13 +66,13 @@ class BlockedBloom:
 
     def maybe(self, df: DataFrame, key: str, hit: bool = True) -> DataFrame:
         """Rows of ``df`` whose key may be in the filter, or (``hit`` false) surely isn't."""
-        names = df.columns
+        names, hashed = df.columns, free_name(df.columns, "_h")
         shared = df.sparkSession.sparkContext.broadcast(self.bits)
 
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bloom = BlockedBloom(shared.value)
             for batch in batches:
-                h = np.asarray(batch.column("_h")).astype(np.int64)
+                h = np.asarray(batch.column(hashed)).astype(np.int64)
                 yield batch.select(names).filter(pa.array(bloom.hit(h) == hit))
 
-        return df.withColumn("_h", F.xxhash64(key)).mapInArrow(probe, df.schema)
+        return df.withColumn(hashed, F.xxhash64(key)).mapInArrow(probe, df.schema)

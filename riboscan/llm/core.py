@@ -31,15 +31,12 @@ def shared_root(spark: SparkSession) -> str:
     return "file://" + _OWN[app]
 
 
-#: Rows that go to a Python worker at once, where the session has Spark's default of 10,000; texts make rows large.
-BATCH_ROWS = 1000
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bounds the memory of Arrow batches of texts, unless the session has its own bound."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, str(BATCH_ROWS))
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 class Workspace:
@@ -51,7 +48,6 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        small_batches(spark)
         self.spark = spark
         self.root = f"{shared_root(spark)}/riboscan-{label}-{uuid.uuid4().hex}"
 
@@ -71,5 +67,4 @@ class Workspace:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

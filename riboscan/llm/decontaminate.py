@@ -1,31 +1,33 @@
 """Benchmark passages in documents, by latent semantic retrieval.
 
-1. One pass turns every text into the numbers of the benchmark words in it;
-   what follows reads these numbers, not the texts. Words outside the benchmark
-   can't match anything, so they only count as places.
-2. Passages are overlapping windows of ``2 * BLOCK`` words. Document frequencies
-   over all blocks give IDF weights. Words in at most MOST_DF of the blocks are
-   content words, and so is the rarer half of each item's words: a passage that
-   was copied very often keeps its words.
-3. A distributed randomised SVD of the TF-IDF passages (range finder, one power
-   iteration, Rayleigh-Ritz) gives the corpus's leading directions. Together
-   with the leading directions of the benchmark's own TF-IDF rows they span the
-   latent space: the corpus alone would not keep the rare words that tell one
-   benchmark item from another.
-4. A passage is a candidate for an item if their latent cosine is COSINE or more
-   and the passage covers COVER of the item (of its part that a passage can hold). It is confirmed by the longest common subsequence of content
-   words around it; below SURE an item's answer (its last sentence) must be
-   there as well.
+1. One pass turns every word of every text into one of FEATURES hashed features,
+   and counts them; what finds the directions reads these numbers, not the
+   texts. Features in at most MOST_SHARE of the passages carry TF-IDF weight.
+2. Passages are overlapping windows of ``2 * BLOCK`` words. A distributed
+   randomised SVD of all TF-IDF passages (range finder, one power iteration,
+   Rayleigh-Ritz) gives the corpus's RANK leading directions and their singular
+   values. Nothing of the benchmark goes into them.
+3. Items are cut into passages of the same size and folded into that space, as
+   the documents' passages are: coordinates over singular values. A document's
+   passage is a candidate for an item's if their cosine is COSINE or more (less
+   for an item shorter than a passage) and it has COVER of the item passage's
+   content words.
+4. A candidate is confirmed by the longest common subsequence of content words
+   around it and the whole item, which must be too long to be there by chance
+   (EVIDENCE); below SURE an item's answer (its last sentence) must be there as
+   well.
 5. RUN consecutive words of an item, or all words of a shorter item, are found
-   by an exact search, whatever the content words or the answer.
+   by an exact search, whatever their features or the answer.
 
-The benchmark is a stated query set; it is taken in blocks of ITEMS items, so
-what is broadcast is bounded. Nothing about the documents is collected but sums
-over benchmark words.
+The directions are found once for all items. The benchmark is a stated query
+set; the search over the texts takes it in blocks of at most ITEMS items and
+ITEM_WORDS words, so what is broadcast is bounded. Nothing about the documents is
+collected but sums over features.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -40,17 +42,21 @@ from riboscan.llm.core import Workspace, table
 from riboscan.llm.textkit import NOT_ALNUM, Words, mix, slices, text_bytes
 
 BLOCK = 16
-MOST_DF = 0.005
-RANK, EXTRA, ITEM_RANK = 32, 8, 512
-COSINE, COVER, SURE, LEAST, ANSWER = 0.4, 0.25, 0.8, 0.5, 0.5
-ITEMS = 512
-#: Items with fewer content words are looked for by exact runs only: too little to tell a paraphrase from chance.
-LEAST_CONTENT = 6
+#: Places between two passages of an item.
+STRIDE = 8
+#: A power of two; a feature's number fits 16 bits.
+FEATURES = 8192
+MOST_SHARE = 0.02
+RANK, EXTRA = 192, 8
+COSINE, COVER, SURE, LEAST, ANSWER = 0.3, 0.25, 0.6, 0.35, 0.2
+#: How unlikely a common subsequence must be by chance, in nats: by the words' shares in the corpus, for any choice of the item's words, in one order.
+EVIDENCE = 24.0
+#: Items and words of a block of the benchmark; a single item may be longer.
+ITEMS, ITEM_WORDS = 8192, 1 << 20
 #: So many consecutive words of an item are a leak, whatever share of it they are.
 RUN = 13
-#: A passage with fewer content words is no candidate.
-LEAST_HITS = 3
-MATCHES = "array<struct<item_id:long,cosine:double,lcs:double,start_word:int>>"
+#: Passages whose cosines are taken at once.
+ROWS = 4096
 
 
 def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -101,38 +107,38 @@ def place_masks(words: list[int]) -> dict[int, int]:
     return out
 
 
-def numbered(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id and ``words``: int32 numbers of the text's words, -1 for words outside the benchmark."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.sorted)
+def features_of(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(FEATURES - 1)).astype(np.int64)
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``words``: the features of each text's words, as 16-bit numbers."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(shared.value)
-        small = np.int16 if len(known) < 32000 else np.int32
         for batch in batches:
-            for a, b, h, of in tokens(batch.column(1)):
-                ids = known.ids(h).astype(small)
-                yield pa.record_batch([batch.column(0).slice(a, b - a).cast(pa.int64()), pa.array([ids[x:y].tobytes() for x, y in zip(of[:-1], of[1:], strict=True)], pa.binary())], names=["doc_id", "words"])
+            for _, _, h, of in tokens(batch.column(0)):
+                ids = features_of(h).astype(np.uint16)
+                yield pa.record_batch([pa.array([ids[x:y].tobytes() for x, y in zip(of[:-1], of[1:], strict=True)], pa.binary())], names=["words"])
 
-    return docs.select("doc_id", "text").mapInArrow(scan, "doc_id long, words binary")
+    return docs.select("text").mapInArrow(scan, "words binary")
 
 
-def chunks(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """As ``tokens``, from numbered words."""
-    raw = [np.frombuffer(x, np.int16 if size < 32000 else np.int32) for x in column.to_pylist()]
+def chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features, word offsets) of slices of numbered texts."""
+    raw = [np.frombuffer(x, np.uint16) for x in column.to_pylist()]
     of = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-    for a, b in slices(of, 1 << 14):
-        yield a, b, np.concatenate(raw[a:b]).astype(np.int64), of[a : b + 1] - of[a]
+    for a, b in slices(of, 1 << 16):
+        yield np.concatenate(raw[a:b]).astype(np.int64), of[a : b + 1] - of[a]
 
 
 class Blocks:
-    """Content words of some documents by blocks of BLOCK words."""
+    """Weighted words of some documents by blocks of BLOCK words."""
 
-    def __init__(self, ids: np.ndarray, of: np.ndarray, content: np.ndarray):
+    def __init__(self, ids: np.ndarray, of: np.ndarray, use: np.ndarray):
         per = -(-np.diff(of) // BLOCK)
         self.first = np.concatenate([[0], np.cumsum(per)])  # of each document
         self.n = int(self.first[-1])
-        at = np.flatnonzero(ids >= 0)
-        at = at[content[ids[at]]]
+        at = np.flatnonzero(use[ids])
         doc = np.searchsorted(of, at, "right") - 1
         self.word, self.block = ids[at], self.first[doc] + (at - of[doc]) // BLOCK
         self.last = np.zeros(self.n, bool)  # the last block of a document
@@ -156,39 +162,45 @@ class Blocks:
         return out
 
 
-def frequencies(words: DataFrame, size: int) -> tuple[np.ndarray, int]:
-    """In how many blocks each benchmark word occurs, and how many blocks there are; over all documents."""
+def frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
+    """How often each feature occurs, and how many passages there are; over all documents."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = np.zeros(size, np.int64), 0
+        count, n = np.zeros(FEATURES, np.int64), 0
         for batch in batches:
-            for _, _, ids, of in chunks(batch.column(0), size):
-                b = Blocks(ids, of, np.ones(size, bool))
-                n += b.n
-                df += np.bincount(np.unique(b.block * size + b.word) % size, minlength=size)
-        use = np.flatnonzero(df)
-        yield pa.record_batch([pa.array(np.append(use, -1)), pa.array(np.append(df[use], n))], names=["word", "n"])
-
-    rows = words.select("words").mapInArrow(scan, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    df, n = np.zeros(size, np.int64), 0
-    for r in rows:
-        if r.word < 0:
-            n = r.n
-        else:
-            df[r.word] = r.n
-    return df, n
-
-
-def gram(words: DataFrame, size: int, content: np.ndarray, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A^T A right for the matrix A of TF-IDF passages; partial sums meet by word."""
+            for ids, of in chunks(batch.column(0)):
+                count += np.bincount(ids, minlength=FEATURES)
+                n += int((-(-np.diff(of) // BLOCK)).sum())
+        use = np.flatnonzero(count)
+        yield pa.record_batch([pa.array(np.append(use, -1)), pa.array(np.append(count[use], n))], names=["word", "n"])
+
+    rows = words.mapInArrow(scan, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    found = {r.word: r.n for r in rows}
+    n = found.pop(-1, 0)
+    count = np.zeros(FEATURES, np.int64)
+    count[list(found)] = list(found.values())
+    return count, n
+
+
+def weights(count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """IDF of each feature, and the same with 0 for those in too many passages to tell any apart."""
+    share = np.minimum(1, 2 * (count + 1) / (n + 1))
+    return -np.log(share), np.where(share <= max(MOST_SHARE, 4 / (n + 1)), -np.log(share), 0)
+
+
+def gram(words: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A^T A right for the matrix A of TF-IDF passages; partial sums meet by feature."""
     p = right.shape[1]
-    shared = words.sparkSession.sparkContext.broadcast((content, idf.astype(np.float32), (right * idf[:, None]).astype(np.float32)))
+    if not p:
+        return right
+    shared = words.sparkSession.sparkContext.broadcast((idf.astype(np.float32), (right * idf[:, None]).astype(np.float32)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use, weight, vectors = shared.value
-        total = np.zeros((size, p))
+        weight, vectors = shared.value
+        use = weight > 0
+        total = np.zeros((len(weight), p), np.float32)
         for batch in batches:
-            for _, _, ids, of in chunks(batch.column(0), size):
+            for ids, of in chunks(batch.column(0)):
                 b = Blocks(ids, of, use)
                 if not len(b.word):
                     continue
@@ -202,28 +214,42 @@ def gram(words: DataFrame, size: int, content: np.ndarray, idf: np.ndarray, righ
         rows = np.flatnonzero(np.abs(total).sum(1))
         yield pa.record_batch([pa.array(rows), *[pa.array(total[rows, j]) for j in range(p)]], names=["word", *[f"c{j}" for j in range(p)]])
 
-    schema = T.StructType([T.StructField("word", T.LongType()), *[T.StructField(f"c{j}", T.DoubleType()) for j in range(p)]])
-    sums = words.select("words").mapInArrow(scan, schema).groupBy("word").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(p)])
-    out = np.zeros((size, p))
-    for r in sums.toLocalIterator():
-        out[r[0]] = r[1:]
+    schema = T.StructType([T.StructField("word", T.LongType()), *[T.StructField(f"c{j}", T.FloatType()) for j in range(p)]])
+    sums = words.mapInArrow(scan, schema).groupBy("word").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(p)]).toArrow()
+    out = np.zeros((len(idf), p))
+    out[sums.column(0).to_numpy()] = np.column_stack([sums.column(j + 1).to_numpy() for j in range(p)])
     return out
 
 
-def randomised_svd(words: DataFrame, size: int, content: np.ndarray, idf: np.ndarray, rank: int = RANK, extra: int = EXTRA) -> tuple[np.ndarray, np.ndarray]:
-    """The leading right singular vectors (as columns) and singular values of the TF-IDF passages."""
-    p = min(rank + extra, size)
-    q, _ = np.linalg.qr(gram(words, size, content, idf, np.random.default_rng(3).standard_normal((size, p))))
-    z = gram(words, size, content, idf, q)
+def randomised_svd(words: DataFrame, idf: np.ndarray, rank: int = RANK, extra: int = EXTRA) -> tuple[np.ndarray, np.ndarray]:
+    """The leading right singular vectors (as columns) and singular values of the TF-IDF passages; only what carries any weight."""
+    use = np.flatnonzero(idf)
+    p = min(rank + extra, len(use))
+    start = np.zeros((len(idf), p))
+    start[use] = np.random.default_rng(3).standard_normal((len(use), p))
+    q, _ = np.linalg.qr(gram(words, idf, start))
+    z = gram(words, idf, q)
     values, turn = np.linalg.eigh((q.T @ z + z.T @ q) / 2)
     order = np.argsort(-values)[:rank]
-    return q @ turn[:, order], np.sqrt(np.maximum(values[order], 0))
+    order = order[values[order] > 1e-6 * max(values.max(initial=0), 1e-12)]
+    return q @ turn[:, order], np.sqrt(values[order])
+
+
+def latent_space(spark: SparkSession, docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(IDF and weight of each feature, its vector for folding into the space of the passages of ``docs``)."""
+    words = Workspace(spark, "latent").keep(numbered(docs), "words")
+    count, n = frequencies(words)
+    idf, weight = weights(count, n)
+    directions, values = randomised_svd(words, weight)
+    return idf, weight, (directions / values * weight[:, None]).astype(np.float32)
 
 
 class Item:
-    def __init__(self, item_id: int, ids: np.ndarray, answer: np.ndarray, content: np.ndarray):
+    def __init__(self, item_id: int, ids: np.ndarray, answer: np.ndarray, content: np.ndarray, idf: np.ndarray):
         self.item_id, self.n_words = item_id, len(ids)
         self.words = ids[content[ids]].tolist()
+        #: How little to be expected each word is where the item is looked for.
+        self.nats = np.maximum(idf[self.words] - math.log(1 + len(ids) / BLOCK), 0).tolist()
         self.masks = place_masks(self.words)
         tail = answer[content[answer]].tolist()
         self.answer, self.answer_masks = len(tail), place_masks(tail)
@@ -268,36 +294,42 @@ class Runs:
 
 
 class Search:
-    """What the search over documents needs; its size depends on a block of the benchmark only."""
-
-    def __init__(self, vocabulary: Vocabulary, items: list[tuple[int, np.ndarray, np.ndarray]], content: np.ndarray, idf: np.ndarray, directions: np.ndarray, rank: int = ITEM_RANK):
-        self.vocabulary, self.content = vocabulary, content
-        every = [(Item(*i, content), i[1]) for i in items]
-        every.sort(key=lambda x: len(x[0].words) < LEAST_CONTENT)
-        self.items = [x for x, _ in every]
-        #: The first items have content words enough for the latent search.
-        self.latent = sum(len(x.words) >= LEAST_CONTENT for x in self.items)
-        self.runs = Runs([(j, at, ids[at : at + RUN]) for j, (_, ids) in enumerate(every) for at in range(max(1, len(ids) - RUN + 1))])
-        latent_items = self.items[: self.latent]
-        rows = np.zeros((self.latent, len(vocabulary)))
-        for r, x in zip(rows, latent_items, strict=True):
-            np.add.at(r, x.words, 1)
-        rows *= idf
-        own = np.linalg.svd(rows, full_matrices=False)[2][:rank].T if len(rows) else np.zeros((len(vocabulary), 0))
-        basis, _ = np.linalg.qr(np.hstack([own, directions])) if own.size + directions.size else (np.zeros((len(vocabulary), 0)), 0)
-        latent = rows @ basis
-        self.vectors = (basis * (idf * content)[:, None]).astype(np.float32)
-        size = np.maximum(np.linalg.norm(latent, axis=1), 1e-12)
-        self.queries = (latent / size[:, None]).T.astype(np.float32)
-        self.least = (COVER * size * [min(1, 2 * BLOCK / max(1, x.n_words)) for x in latent_items]).astype(np.float32)
-
-    def matches(self, ids: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float | None, float, int]]]:
+    """What the search over documents needs; its size depends on a block of the benchmark and the space only."""
+
+    def __init__(self, vocabulary: Vocabulary, items: list[tuple[int, np.ndarray, np.ndarray]], idf: np.ndarray, weight: np.ndarray, vectors: np.ndarray):
+        self.vocabulary, self.vectors, self.use = vocabulary, vectors, weight > 0
+        feature = features_of(vocabulary.sorted)
+        #: Content words carry weight or are of the rarer half of an item's words.
+        self.content = weight[feature] > 0
+        for _, ids, _ in items:
+            own = np.unique(ids)
+            self.content[own[np.argsort(-idf[feature[own]], kind="stable")][: -(-len(own) // 2)]] = True
+        self.items = [Item(*i, self.content, idf[feature]) for i in items]
+        self.runs = Runs([(j, at, ids[at : at + RUN]) for j, (_, ids, _) in enumerate(items) for at in range(max(1, len(ids) - RUN + 1))])
+        self.owner, queries, least, keys, self.need = [], [], [], [], []
+        for j, (_, ids, _) in enumerate(items):
+            for at in range(0, max(1, len(ids) - 2 * BLOCK + STRIDE), STRIDE):
+                part = ids[at : at + 2 * BLOCK]
+                f = features_of(vocabulary.sorted[part])
+                v = vectors[f[self.use[f]]].sum(0)
+                known = np.unique(part[self.content[part]])
+                if len(known) and (size := np.linalg.norm(v)):
+                    keys.append(len(self.owner) * len(vocabulary) + known)
+                    self.need.append(COVER * len(known))
+                    self.owner.append(j)
+                    queries.append(v / size)
+                    least.append(COSINE * min(1, len(part) / (2 * BLOCK)) ** 0.5)
+        self.queries = np.array(queries, np.float32).reshape(len(queries), vectors.shape[1]).T
+        self.least, self.keys = np.array(least, np.float32), np.concatenate([*keys, np.zeros(0, np.int64)])
+
+    def matches(self, h: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float | None, float, int]]]:
         """For each document its confirmed items: (cosine, share of the common subsequence, first word of the passage).
 
         Items that only the search for runs finds have no cosine, the share of
         their words that lies in runs, and the first word of the first run.
         """
-        found: dict[int, dict[int, tuple[float | None, float, int]]] = self.latent_matches(ids, of)
+        ids = self.vocabulary.ids(h).astype(np.int64)
+        found = self.latent_matches(features_of(h), ids, of)
         first: dict[tuple[int, int], int] = {}
         covered: dict[tuple[int, int], set[int]] = {}
         for doc, j, at, place, n in self.runs.find(ids, of):
@@ -308,42 +340,67 @@ class Search:
             found.setdefault(doc, {})[j] = (None, len(covered[doc, j]) / self.items[j].n_words, at)
         return found
 
-    def latent_matches(self, ids: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float | None, float, int]]]:
+    def near(self, features: np.ndarray, of: np.ndarray) -> tuple[Blocks, np.ndarray, np.ndarray, np.ndarray]:
+        """Blocks, and for each passage near an item's: its first block, the item's passage, their cosine."""
+        b = Blocks(features, of, self.use)
+        none = np.zeros(0, np.int64)
+        if not len(b.word) or not self.queries.size:
+            return b, none, none, np.zeros(0)
+        passages = b.windows(b.sums(self.vectors))
+        size = np.linalg.norm(passages, axis=1)
+        full = np.flatnonzero(size > 0)
+        out = []
+        for a in range(0, len(full), ROWS):
+            rows = full[a : a + ROWS]
+            cosine = (passages[rows] / size[rows, None]) @ self.queries
+            at, which = np.nonzero(cosine >= self.least)
+            out.append((rows[at], which, cosine[at, which]))
+        return b, *(np.concatenate(x) for x in zip(*out, strict=True))
+
+    def covered(self, ids: np.ndarray, of: np.ndarray, start: np.ndarray, stop: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Whether the words from ``start`` to ``stop`` have enough of the content words of the item passages ``which``."""
+        n = np.zeros(len(which), np.int64)
+        for k in range(2 * BLOCK):
+            at = np.minimum(start + k, len(ids) - 1)
+            key = which * len(self.vocabulary) + ids[at]
+            n += (start + k < stop) & (ids[at] >= 0) & (self.keys[np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)] == key)
+        return n >= np.array(self.need)[which]
+
+    def latent_matches(self, features: np.ndarray, ids: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float | None, float, int]]]:
         """The matches of the latent search."""
         found: dict[int, dict[int, tuple[float | None, float, int]]] = {}
-        b = Blocks(ids, of, self.content)
-        if not len(b.word) or not self.latent:
+        b, block, which, cosine = self.near(features, of)
+        if not len(block):
             return found
-        hits = np.bincount(b.block, minlength=b.n)
-        near = hits.copy()
-        near[:-1] += np.where(b.last[:-1], 0, hits[1:])
-        near[b.last & ~b.single] = 0
-        full = np.flatnonzero(near >= LEAST_HITS)
-        passages = b.windows(b.sums(self.vectors))[full]
-        shared = passages @ self.queries
-        at, which = np.nonzero(shared >= self.least)
-        cosine = shared[at, which] / np.linalg.norm(passages[at], axis=1)
-        for c, i, j in zip(cosine.tolist(), at.tolist(), which.tolist(), strict=True):
-            if c < COSINE:
-                continue
-            block = int(full[i])
-            doc = int(np.searchsorted(b.first, block, "right")) - 1
-            item, start = self.items[j], (block - int(b.first[doc])) * BLOCK
-            old = found.setdefault(doc, {}).get(j)
+        doc = np.searchsorted(b.first, block, "right") - 1
+        start = of[doc] + (block - b.first[doc]) * BLOCK
+        keep = self.covered(ids, of, start, np.minimum(start + 2 * BLOCK, of[doc + 1]), which)
+        seen: dict[tuple[int, int, int], float] = {}
+        for d, i, x, c in zip(doc[keep].tolist(), which[keep].tolist(), (start - of[doc])[keep].tolist(), cosine[keep].tolist(), strict=True):
+            key = (d, self.owner[i], x)
+            seen[key] = max(c, seen.get(key, c))
+        for (d, j, x), c in sorted(seen.items()):
+            old = found.get(d, {}).get(j)
             if old and old[1] == 1:
                 continue
-            if (share := self.confirm(item, ids[of[doc] : of[doc + 1]], start)) and (not old or share > old[1]):
-                found[doc][j] = (c, share, start)
-        return {d: x for d, x in found.items() if x}
+            if (share := self.confirm(self.items[j], ids[of[d] : of[d + 1]], x)) and (not old or share > old[1]):
+                found.setdefault(d, {})[j] = (c, share, x)
+        return found
 
     def confirm(self, item: Item, words: np.ndarray, start: int) -> float:
         """The share of the item's content words in order around a passage; 0 if too few."""
         near = words[max(0, start - item.n_words) : start + 2 * BLOCK + item.n_words]
         near = near[near >= 0]
         near = near[self.content[near]].tolist()
-        share = lcs(item.masks, near, len(item.words)) / len(item.words)
+        n = lcs(item.masks, near, len(item.words))
+        share = n / len(item.words)
         if share < LEAST:
             return 0.0
+        there = set(near)
+        known = [x for w, x in zip(item.words, item.nats, strict=True) if w in there]
+        evidence = n * sum(known) / len(known) + math.lgamma(n + 1) - math.log(math.comb(len(item.words), n))
+        if evidence < EVIDENCE:
+            return 0.0
         if share < SURE and item.answer and lcs(item.answer_masks, near, item.answer) < ANSWER * item.answer:
             return 0.0
         return share
@@ -357,24 +414,30 @@ def _read_items(rows: list) -> tuple[Vocabulary, list[tuple[int, np.ndarray, np.
     return vocabulary, [(r.item_id, vocabulary.ids(x).astype(np.int64), vocabulary.ids(y).astype(np.int64)) for r, x, y in zip(rows, *hashed, strict=True)]
 
 
-def searches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Search, DataFrame]]:
-    """For each block of the benchmark its Search and the numbered documents."""
-    rows = benchmark.filter("item_id is not null").select("item_id", "text")
-    blocks = -(-rows.count() // ITEMS)
-    for i in range(blocks):
-        ws = Workspace(spark, "latent")
-        block = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
-        vocabulary, items = _read_items(block.orderBy("item_id", "text").collect())
-        size = len(vocabulary)
-        words = ws.keep(numbered(docs, vocabulary), "words")
-        df, n = frequencies(words, size)
-        content = df <= MOST_DF * n
-        for _, ids, _ in items:
-            own = np.unique(ids)
-            content[own[np.argsort(df[own], kind="stable")][: -(-len(own) // 2)]] = True
-        idf = np.where(content, np.log((n + 1) / (df + 1)) + 1, 0)
-        directions = randomised_svd(words, size, content, idf)[0] if size and content.any() else np.zeros((size, 0))
-        yield Search(vocabulary, items, content, idf, directions), words
+def _blocks(benchmark: DataFrame) -> Iterator[list]:
+    """Rows of the benchmark, so many at a time that a block is bounded."""
+    block, size = [], 0
+    for r in benchmark.filter("item_id is not null").select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
+        n = len((r.text or "").split())
+        if block and (len(block) >= ITEMS or size + n > ITEM_WORDS):
+            yield block
+            block, size = [], 0
+        block.append(r)
+        size += n
+    if block:
+        yield block
+
+
+def searches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Iterator[Search]:
+    """For each block of the benchmark its Search; the space is found once."""
+    space = None
+    for rows in _blocks(benchmark):
+        if space is None:
+            space = latent_space(spark, docs)
+        yield Search(*_read_items(rows), *space)
+
+
+LEAKS = "doc_id long, item_id long, cosine double, lcs double, start_word long"
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -386,28 +449,29 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
     give repeated results; a null doc_id stays null. Other columns aren't read.
     """
     out = None
-    for search, words in searches(spark, docs, benchmark):
-        shared, size = spark.sparkContext.broadcast(search), len(search.vocabulary)
+    for search in searches(spark, docs, benchmark):
+        shared = spark.sparkContext.broadcast(search)
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared, size=size) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             s = shared.value
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                rows = [(ids[a + d], s.items[j].item_id, *m) for a, _, w, of in chunks(batch.column(1), size) for d, x in sorted(s.matches(w, of).items()) for j, m in sorted(x.items())]
-                columns = list(zip(*rows, strict=True)) or [[]] * 5
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "cosine", "lcs", "start_word"])
+                for a, _, h, of in tokens(batch.column(1)):
+                    rows = [(ids[a + d], s.items[j].item_id, *m) for d, x in sorted(s.matches(h, of).items()) for j, m in sorted(x.items())]
+                    if rows:
+                        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+                        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "item_id", "cosine", "lcs", "start_word"])
 
-        part = words.mapInArrow(scan, "doc_id long, item_id long, cosine double, lcs double, start_word long")
+        part = docs.select("doc_id", "text").mapInArrow(scan, LEAKS)
         out = part if out is None else out.union(part)
-    return out if out is not None else spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, start_word long")
+    return out if out is not None else spark.createDataFrame([], LEAKS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` in which no benchmark item is found, all their columns as they are."""
     out = docs
     at = docs.columns.index("text")
-    for search, _ in searches(spark, docs, benchmark):
+    for search in searches(spark, docs, benchmark):
         shared = spark.sparkContext.broadcast(search)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -415,7 +479,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for a, _, h, of in tokens(batch.column(at)):
-                    keep[[a + d for d in s.matches(s.vocabulary.ids(h).astype(np.int64), of)]] = False
+                    keep[[a + d for d in s.matches(h, of)]] = False
                 yield batch.filter(pa.array(keep))
 
         out = out.mapInArrow(scan, docs.schema)
@@ -423,4 +487,5 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
 
 
 def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``find_leaks`` of the benchmark in all documents."""
     return find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

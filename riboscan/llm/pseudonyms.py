@@ -21,26 +21,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riboscan.llm.core import table
+from riboscan.llm.core import free_name, table
 from riboscan.llm.textkit import text_bytes
 
 ROUNDS = 8
 #: Letters and digits around a number would make it part of something else.
 PATTERN = re.compile(
-    r"(?P<email>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
-    r"|(?<![\w.])(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})(?!\w)"
+    r"(?<![\w.])(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})(?!\w)"
     r"|(?<![\w.])(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?![\w]|\.\d)"
     r"|(?<![\w-])(?P<date>\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w-])"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?<!\w)(?P<phone>\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"
     r"|(?<![\w-])(?P<card>\d(?:[ -]?\d){12,18})(?![\w-])"
 )
+#: What stands at an e-mail address's @ and behind it; before it stand letters, digits and LOCAL.
+DOMAIN, LOCAL = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), "_.%+-"
 #: Letters and digits of an IBAN by country; other countries' are taken as they stand.
 IBAN_SIZE = {
     x[:2]: int(x[2:])
     for x in "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30".split()
 }
-KINDS = tuple(PATTERN.groupindex)
+KINDS = ("email", *PATTERN.groupindex)
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 
@@ -145,16 +146,19 @@ class Pseudonyms:
 
     def date(self, s: str, back: bool) -> str | None:
         form = "%Y-%m-%d" if s[4] == "-" else "%d.%m.%Y" if s[2] == "." else "%m/%d/%Y"
-        valid = lambda x: True
-        if form == "%m/%d/%Y" and int(s[3:5]) <= 12 < int(s[:2]):  # no month/day; nor may its pseudonym be one
-            form, valid = "%d/%m/%Y", lambda x: datetime.date.fromordinal(_FIRST + x).day > 12
+        if form == "%m/%d/%Y" and int(s[3:5]) <= 12 < int(s[:2]):  # no month/day
+            form = "%d/%m/%Y"
         try:
-            day = datetime.datetime.strptime(s, form).date().toordinal()
+            day = datetime.datetime.strptime(s, form).date()
         except ValueError:
             return None
-        if not _FIRST <= day <= _LAST:
+        if not _FIRST <= day.toordinal() <= _LAST:
             return None
-        return datetime.date.fromordinal(_FIRST + self._permute(f"date:{form}", _LAST - _FIRST + 1, day - _FIRST, back, valid)).strftime(form)
+        # days after the 12th among themselves: a day/month pseudonym stays one, and a day has one pseudonym in all formats
+        late = day.day > 12
+        same = lambda x: (datetime.date.fromordinal(_FIRST + x).day > 12) == late
+        x = self._permute(f"date:{late}", _LAST - _FIRST + 1, day.toordinal() - _FIRST, back, same)
+        return datetime.date.fromordinal(_FIRST + x).strftime(form)
 
     def ssn(self, s: str, back: bool) -> str | None:
         real = lambda x: 0 < x // 10**6 < 900 and x // 10**6 != 666 and x // 10**4 % 100 > 0 and x % 10**4 > 0
@@ -189,34 +193,69 @@ class Pseudonyms:
         rest = self._mixed("iban", plain[4:], back)
         return _refill(s, f"{plain[:2]}{_iban_check(plain[:2], rest):02d}{rest}")
 
+    def _address(self, text: str, at: int, sign: int) -> tuple[int, int, int] | None:
+        """(start, end, place of @) of the first e-mail address from ``at`` on whose @ isn't before ``sign``."""
+        while (sign := text.find("@", sign)) >= 0:
+            if m := DOMAIN.match(text, sign):
+                start = sign
+                while start > at and (text[start - 1].isalnum() or text[start - 1] in LOCAL):
+                    start -= 1
+                if start < sign:
+                    return start, m.end(), sign
+            sign += 1
+        return None
+
+    def _value(self, m: re.Match, back: bool) -> tuple[str, int] | None:
+        """The pseudonym of a match and how much of it that replaces; None if nothing in it is valid from its start on."""
+        for end in _ends(m.lastgroup, m[0]):
+            value = m[0][:end]
+            out = getattr(self, m.lastgroup)(value, back)
+            if out is None and m.lastgroup == "phone" and len(re.sub(r"\D", "", value)) >= 13:
+                out = self.card(value, back)
+            if out is not None:
+                return out, end
+        return None
+
     def replace(self, text: str, back: bool = False) -> tuple[str, list[str]]:
-        """The text with every valid value replaced, and the kinds replaced, in order."""
+        """The text with every valid value replaced, and the kinds replaced, in order.
+
+        An address's front is looked for from its @ backwards, and every other
+        kind is bounded in length, so the work grows with the text's length.
+        """
         kinds, parts, at, done = [], [], 0, 0
-        while m := PATTERN.search(text, at):
-            out, at = None, m.start() + 1  # where nothing is valid, the search goes on inside the match
-            for end in _ends(m.lastgroup, m[0]):
-                value = m[0][:end]
-                out = getattr(self, m.lastgroup)(value, back)
-                if out is None and m.lastgroup == "phone" and len(re.sub(r"\D", "", value)) >= 13:
-                    out = self.card(value, back)
-                if out is not None:
-                    parts += [text[done : m.start()], out]
-                    at = done = m.start() + end
-                    kinds.append(m.lastgroup)
-                    break
+        mail, m = self._address(text, 0, 0), PATTERN.search(text)
+        while mail or m:
+            if mail and (m is None or mail[0] <= m.start()):
+                start, at, _ = mail
+                parts += [text[done:start], self.email(text[start:at], back)]
+                kinds.append("email")
+                done = at
+            elif found := self._value(m, back):
+                out, size = found
+                parts += [text[done : m.start()], out]
+                kinds.append(m.lastgroup)
+                at = done = m.start() + size
+            else:
+                at = m.start() + 1  # where nothing is valid, the search goes on inside the match
+            if mail and mail[0] < at:
+                mail = self._address(text, at, max(at, mail[2]))
+            if m and m.start() < at:
+                m = PATTERN.search(text, at)
         return "".join([*parts, text[done:]]), kinds
 
 
 def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
-    """``docs`` with pseudonyms in ``text``, ``n_chars`` (if there is one) following it, and ``_kinds``: the kinds replaced, in order.
+    """``docs`` with pseudonyms in ``text``, ``n_chars`` (if there is one) following it, and a last column ``_kinds``: the kinds replaced, in order.
 
-    Only valid values change; all else in a text stays as it is. ``back`` undoes
+    Where ``docs`` has a column ``_kinds`` of its own, the last one's name gets
+    underscores before it. Only valid values change; all else in a text stays as it is. ``back`` undoes
     it with the same key. Null and empty texts stay; repeated rows get the same
     result; other columns pass through.
     """
     columns = docs.columns
     at = columns.index("text")
-    schema = T.StructType([*docs.schema.fields, T.StructField("_kinds", T.ArrayType(T.StringType()))])
+    found = free_name(columns, "_kinds")
+    schema = T.StructType([*docs.schema.fields, T.StructField(found, T.ArrayType(T.StringType()))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Pseudonyms(key)
@@ -242,7 +281,7 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
                 if sizes:
                     k = columns.index("n_chars")
                     arrays[k] = pa.array(sizes, arrays[k].type)
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(kinds, pa.list_(pa.string()))], names=[*columns, "_kinds"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(kinds, pa.list_(pa.string()))], names=[*columns, found])
 
     return docs.mapInArrow(scan, schema)
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riboscan.llm.bloom import BlockedBloom
-from riboscan.llm.core import Workspace, table
+from riboscan.llm.core import Workspace, free_name, table
 from riboscan.llm.textkit import SPACES, Words, byte_set, hash_word, mix, slices, text_bytes
 
 #: Frequent short words of four languages.
@@ -87,10 +87,10 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def with_statistics(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` (text among them) and ``_stats``, a struct of FEATURES."""
+def with_statistics(docs: DataFrame, columns: list[str], name: str = "_stats") -> DataFrame:
+    """``columns`` of ``docs`` (text among them) and ``name``, a struct of FEATURES."""
     struct = T.StructType([T.StructField(f, T.DoubleType()) for f in FEATURES])
-    schema = T.StructType([*docs.select(*columns).schema.fields, T.StructField("_stats", struct)])
+    schema = T.StructType([*docs.select(*columns).schema.fields, T.StructField(name, struct)])
     at = columns.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +99,7 @@ def with_statistics(docs: DataFrame, columns: list[str]) -> DataFrame:
             for a, b in slices(off):
                 x = statistics(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 stats = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in x.T], names=list(FEATURES))
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, stats], names=[*columns, "_stats"])
+                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, stats], names=[*columns, name])
 
     return docs.select(*columns).mapInArrow(scan, schema)
 
@@ -261,8 +261,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFr
     ws = Workspace(spark, "quality")
     known = labels.filter("quality is not null").select("doc_id").distinct()
     stats = ws.keep(with_statistics(BlockedBloom.of_ids(known).maybe(docs.select("doc_id", "text"), "doc_id"), ["doc_id", "text"]).drop("text"), "stats")
-    score = learn(stats, labels).column()
-    return with_statistics(docs, docs.columns).filter(score >= 0.5).drop("_stats")
+    name = free_name(docs.columns, "_stats")
+    score = learn(stats, labels).column(name)
+    return with_statistics(docs, docs.columns, name).filter(score >= 0.5).select(docs.columns)
 
 
 def op3_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:

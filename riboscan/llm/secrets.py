@@ -1,10 +1,12 @@
 """Secret scanning by one combined automaton.
 
-Every rule has a head that must occur in each of its matches. The heads of all
-rules form one minimal deterministic automaton; it runs over every byte once,
-over thousands of pieces of text in step, and marks the pieces in which a head
-ends. In marked pieces, each marked rule's own automaton yields the leftmost
-longest matches, one after the other.
+All rules together form one minimal deterministic automaton; it runs over every
+byte once, over thousands of pieces of text in step, and marks the pieces in
+which a whole match of a rule ends (its shortest: what may follow it adds
+nothing to a mark). In a marked piece, one backward pass of the automaton of all
+reversed rules gives the places where a match of each rule begins; from those
+alone the rule's own automaton yields the leftmost longest matches, one after
+the other. So the work grows with the text's length, whatever is in it.
 
 Texts are cut into pieces only behind bytes that no rule contains, so no match
 crosses a cut. The rule of private keys matches their first line; found keys are
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 from typing import NamedTuple
@@ -26,18 +29,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riboscan.llm.automaton import Automaton
-from riboscan.llm.core import small_batches, table
+from riboscan.llm.core import table
 from riboscan.llm.textkit import slices, text_bytes
 
 
 class Rule(NamedTuple):
-    """``before`` + ``value`` is the pattern; a match stays if its value (or, without ``before``, the match) has ``least`` bytes."""
+    """``before`` + ``value`` is the pattern; a match stays if its value (or, without ``before``, the match) has ``least`` bytes.
+
+    ``shortest`` is the pattern without what a match may go on with (runs of one
+    kind of byte keep a least length, or every letter would be marked).
+    """
 
     kind: str
     before: str
     value: str
     least: int
-    head: str
+    shortest: str
     fold: bool = False
 
 
@@ -52,8 +59,8 @@ ADDED = (
     Rule("slack", "", "xox[abprs]-[A-Za-z0-9-]+", 20, "xox[abprs]-[A-Za-z0-9-]"),
     Rule("gcp", "", "AIza[A-Za-z0-9_-]+", 39, "AIza[A-Za-z0-9_-]"),
     Rule("stripe", "", "(sk|rk|pk)_(live|test)_[A-Za-z0-9]+", 24, "(sk|rk|pk)_(live|test)_[A-Za-z0-9]"),
-    Rule("jwt", "", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 40, "eyJ[A-Za-z0-9_-]"),
-    Rule("key", "", "-----BEGIN [A-Z0-9 ]*PRIVATE KEY( BLOCK)?-----", 27, "-----BEGIN "),
+    Rule("jwt", "", "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 40, "eyJ[A-Za-z0-9_-]+\\.eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]"),
+    Rule("key", "", "-----BEGIN [A-Z0-9 ]*PRIVATE KEY( BLOCK)?-----", 27, "-----BEGIN [A-Z0-9 ]*PRIVATE KEY( BLOCK)?-----"),
 )
 RULES = BASE + ADDED
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -79,13 +86,13 @@ def key_end(raw: bytes, start: int, end: int) -> int:
 class Scanner:
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
-        self.heads = Automaton([(r.head, r.fold) for r in rules], search=True)
+        self.combined = Automaton([(r.shortest, r.fold) for r in rules], search=True)
+        self.begins = Automaton([(r.before + r.value, r.fold) for r in rules], search=True, reverse=True)
         self.whole = [Automaton([(r.before + r.value, r.fold)], search=False) for r in rules]
         self.before = [Automaton([(r.before, r.fold)], search=False) if r.before else None for r in rules]
         self.cut = np.ones(256, bool)
         for a in self.whole:
             self.cut[list(a.alphabet)] = False
-        self.first = [np.array([a.rows[0][c] != a.dead for c in a.byte_class]) for a in self.whole]
 
     def pieces(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Ends of pieces: of rows, and behind the first cut byte of each PIECE bytes."""
@@ -95,13 +102,13 @@ class Scanner:
         return np.union1d(cuts, off)
 
     def marked(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, end and rule bits of the pieces in which a head ends."""
+        """Start, end and rule bits of the pieces in which a match ends."""
         start, size = bounds[:-1], np.diff(bounds)
         order = np.argsort(-size, kind="stable")
         start, size = start[order], size[order]
-        kinds = self.heads.class_of[data].astype(np.int32)
+        kinds = self.combined.class_of[data].astype(np.int32)
         state, seen = np.zeros(len(start), np.int32), np.zeros(len(start), np.int64)
-        step, accepts, n = self.heads.step, np.repeat(self.heads.accepts, self.heads.classes), len(start)
+        step, accepts, n = self.combined.step, np.repeat(self.combined.accepts, self.combined.classes), len(start)
         longest = int(size[0]) if n else 0
         active = n - np.searchsorted(size[::-1], np.arange(longest), "right")
         for i in range(longest):
@@ -117,7 +124,7 @@ class Scanner:
 
     def _tails(self, kinds, start, size, state, seen, m, i) -> None:
         """The rest of a few long pieces, byte by byte."""
-        rows, accept, classes = self.heads.rows, self.heads.accept_list, self.heads.classes
+        rows, accept, classes = self.combined.rows, self.combined.accept_list, self.combined.classes
         for p in range(m):
             s, bits = int(state[p]) // classes, int(seen[p])
             for c in kinds[start[p] + i : start[p] + size[p]].tolist():
@@ -128,19 +135,18 @@ class Scanner:
     def spans(self, data: np.ndarray, a: int, b: int, bits: int) -> list[tuple[int, int, int]]:
         """(start, rule, end) of the matches in a piece, leftmost and not overlapping for each rule."""
         raw, out = data[a:b].tobytes(), []
+        begins = self.begins.trace(raw[::-1])[::-1]  # rule bits of the places where a match begins
         for r, rule in enumerate(self.rules):
             if not bits >> r & 1:
                 continue
-            at = 0
-            for p in np.flatnonzero(self.first[r][data[a:b]]).tolist():
-                if p < at:
-                    continue
+            starts, i = np.flatnonzero(begins >> r & 1).tolist(), 0
+            while i < len(starts):
+                p = starts[i]
                 end = self.whole[r].longest(raw, p, b - a)
-                if end > p:
-                    value = self.before[r].longest(raw, p, end - 1) if self.before[r] else p
-                    if end - value >= rule.least:
-                        out.append((a + p, r, a + end))
-                    at = end
+                value = self.before[r].longest(raw, p, end - 1) if self.before[r] else p
+                if end - value >= rule.least:
+                    out.append((a + p, r, a + end))
+                i = bisect_left(starts, end, i + 1)
         return out
 
     def whole_keys(self, raw: bytes, at: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -201,7 +207,6 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     ``n_chars``, where there is one, follows the text. Rows without secrets
     and null texts stay as they are.
     """
-    small_batches(docs.sparkSession)
     columns = docs.columns
     schema = docs.schema
     at = columns.index("text")
