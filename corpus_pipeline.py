@@ -2,7 +2,9 @@
 
 Quality rules out bad documents; of each group of near duplicates one stays;
 documents with benchmark passages go; secrets are replaced in the texts; the
-rest is packed into batches.
+rest is packed into batches, texts and all. Every stage takes null, empty and
+very long texts, repeated rows, null doc_ids, empty tables and columns of any
+name; what becomes of them stands in the stage's docstring.
 """
 
 from __future__ import annotations
@@ -18,7 +20,11 @@ from riboscan.llm.secrets import redact_secrets
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble scores 0.5 or more."""
+    """Documents that the rule ensemble scores 0.5 or more.
+
+    Null texts score as empty ones; repeated rows and null doc_ids are scored
+    like any other. Without labels every document stays.
+    """
     return keep_good(spark, docs, table(spark, sf_dir, "labels"))
 
 
@@ -31,18 +37,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage. Null and empty texts hold none; repeated rows share their fate."""
     return drop_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets replaced by their kind in brackets."""
+    """All documents, secrets replaced by their kind in brackets and ``n_chars`` following; null and empty texts stay as they are."""
     return redact_secrets(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document lies in batches of 32,768 tokens."""
-    return pack(spark, docs)
+    """Each document's text and where it lies in batches of 32,768 tokens.
+
+    Null and empty texts have 0 tokens and a slot; repeated rows take one each.
+    """
+    return pack(spark, docs, carry=("text",))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("secrets", secrets), ("packing", packing)]
