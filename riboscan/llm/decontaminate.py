@@ -47,7 +47,7 @@ STRIDE = 8
 #: A power of two; a feature's number fits 16 bits.
 FEATURES = 8192
 MOST_SHARE = 0.02
-RANK, EXTRA = 192, 8
+RANK, EXTRA = 128, 8
 COSINE, COVER, SURE, LEAST, ANSWER = 0.3, 0.25, 0.6, 0.35, 0.2
 #: How unlikely a common subsequence must be by chance, in nats: by the words' shares in the corpus, for any choice of the item's words, in one order.
 EVIDENCE = 24.0
@@ -55,8 +55,8 @@ EVIDENCE = 24.0
 ITEMS, ITEM_WORDS = 8192, 1 << 20
 #: So many consecutive words of an item are a leak, whatever share of it they are.
 RUN = 13
-#: Passages whose cosines are taken at once.
-ROWS = 4096
+#: Words of which partial sums are made in one task, at least; passages whose vectors are handled at once.
+PARTIAL, ROWS = 1 << 26, 1024
 
 
 def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -127,40 +127,68 @@ def chunks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(features, word offsets) of slices of numbered texts."""
     raw = [np.frombuffer(x, np.uint16) for x in column.to_pylist()]
     of = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-    for a, b in slices(of, 1 << 16):
+    for a, b in slices(of, 1 << 18):
         yield np.concatenate(raw[a:b]).astype(np.int64), of[a : b + 1] - of[a]
 
 
 class Blocks:
-    """Weighted words of some documents by blocks of BLOCK words."""
+    """Words of some documents in blocks of BLOCK, as rows of a table of vectors whose last row is zero.
 
-    def __init__(self, ids: np.ndarray, of: np.ndarray, use: np.ndarray):
-        per = -(-np.diff(of) // BLOCK)
+    ``row``: of each feature. Documents are filled up to whole blocks with the zero row.
+    """
+
+    def __init__(self, ids: np.ndarray, of: np.ndarray, row: np.ndarray):
+        size = np.diff(of)
+        per = -(-size // BLOCK)
         self.first = np.concatenate([[0], np.cumsum(per)])  # of each document
         self.n = int(self.first[-1])
-        at = np.flatnonzero(use[ids])
-        doc = np.searchsorted(of, at, "right") - 1
-        self.word, self.block = ids[at], self.first[doc] + (at - of[doc]) // BLOCK
+        self.words = np.full(self.n * BLOCK, row[-1], np.intp)
+        self.words[np.arange(len(ids)) + np.repeat(self.first[:-1] * BLOCK - of[:-1], size)] = row[ids]
         self.last = np.zeros(self.n, bool)  # the last block of a document
         self.last[self.first[1:][per > 0] - 1] = True
         self.single = np.zeros(self.n, bool)
         self.single[self.first[:-1][per == 1]] = True
 
     def sums(self, vectors: np.ndarray) -> np.ndarray:
-        """For each block the sum of its words' vectors."""
-        out = np.zeros((self.n, vectors.shape[1]), np.float32)
-        if len(self.word):
-            start = np.flatnonzero(np.diff(self.block, prepend=-1))
-            out[self.block[start]] = np.add.reduceat(vectors[self.word], start, axis=0)
+        """For each block the sum of its words' vectors; few blocks at a time, so that they stay in the cache."""
+        out, part = np.empty((self.n, vectors.shape[1]), np.float32), np.empty((ROWS, vectors.shape[1]), np.float32)
+        words = self.words.reshape(-1, BLOCK)
+        for a in range(0, self.n, ROWS):
+            total = out[a : a + ROWS]
+            np.take(vectors, words[a : a + ROWS, 0], axis=0, out=total, mode="clip")
+            for k in range(1, BLOCK):
+                total += np.take(vectors, words[a : a + ROWS, k], axis=0, out=part[: len(total)], mode="clip")
         return out
 
     def windows(self, sums: np.ndarray) -> np.ndarray:
         """For each block the passage that it begins: with the next block; zero where another passage has its words."""
         out = sums.copy()
-        out[:-1] += np.where(self.last[:-1, None], 0, sums[1:])
+        inner = np.flatnonzero(~self.last[:-1])
+        out[inner] += sums[inner + 1]
         out[self.last & ~self.single] = 0
         return out
 
+    def spread(self, passages: np.ndarray, total: np.ndarray) -> None:
+        """Adds to the row of each word the sums of the passages that hold it."""
+        back = passages.copy()
+        inner = np.flatnonzero(~self.last[:-1])
+        back[inner + 1] += passages[inner]
+        small = self.words.astype(np.uint16)
+        order = np.argsort(small, kind="stable")
+        order = order[: np.searchsorted(small[order], len(total) - 1)]  # without the zero row
+        word, block = self.words[order], order // BLOCK
+        for a in range(0, len(word), 2 * ROWS):
+            part = word[a : a + 2 * ROWS]
+            start = np.flatnonzero(np.diff(part, prepend=-1))
+            total[part[start]] += np.add.reduceat(back[block[a : a + 2 * ROWS]], start, axis=0)
+
+
+def rows_of(weight: np.ndarray) -> np.ndarray:
+    """The row of each feature in a table of those with a weight and a zero row; the last entry is that of the zero row."""
+    row = np.full(len(weight) + 1, np.count_nonzero(weight))
+    row[:-1][weight > 0] = np.arange(row[-1])
+    return row
+
 
 def frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
     """How often each feature occurs, and how many passages there are; over all documents."""
@@ -188,47 +216,37 @@ def weights(count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return -np.log(share), np.where(share <= max(MOST_SHARE, 4 / (n + 1)), -np.log(share), 0)
 
 
-def gram(words: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A^T A right for the matrix A of TF-IDF passages; partial sums meet by feature."""
-    p = right.shape[1]
+def gram(words: DataFrame, weight: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A^T A right for the matrix A of TF-IDF passages, over the features with a weight; partial sums meet by feature."""
+    p, used = right.shape[1], weight[weight > 0]
     if not p:
         return right
-    shared = words.sparkSession.sparkContext.broadcast((idf.astype(np.float32), (right * idf[:, None]).astype(np.float32)))
+    vectors = np.vstack([right * used[:, None], np.zeros((1, p))]).astype(np.float32)
+    shared = words.sparkSession.sparkContext.broadcast((rows_of(weight), vectors))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, vectors = shared.value
-        use = weight > 0
-        total = np.zeros((len(weight), p), np.float32)
+        row, vectors = shared.value
+        total = np.zeros(vectors.shape)
         for batch in batches:
             for ids, of in chunks(batch.column(0)):
-                b = Blocks(ids, of, use)
-                if not len(b.word):
-                    continue
-                passages = b.windows(b.sums(vectors))
-                back = passages.copy()
-                back[1:] += np.where(b.last[:-1, None], 0, passages[:-1])
-                order = np.argsort(b.word, kind="stable")
-                start = np.flatnonzero(np.diff(b.word[order], prepend=-1))
-                total[b.word[order][start]] += np.add.reduceat(back[b.block[order]], start, axis=0)
-        total *= weight[:, None]
+                b = Blocks(ids, of, row)
+                if b.n:
+                    b.spread(b.windows(b.sums(vectors)), total)
         rows = np.flatnonzero(np.abs(total).sum(1))
-        yield pa.record_batch([pa.array(rows), *[pa.array(total[rows, j]) for j in range(p)]], names=["word", *[f"c{j}" for j in range(p)]])
+        yield pa.record_batch([pa.array(rows), *[pa.array(total[rows, j].astype(np.float32)) for j in range(p)]], names=["word", *[f"c{j}" for j in range(p)]])
 
     schema = T.StructType([T.StructField("word", T.LongType()), *[T.StructField(f"c{j}", T.FloatType()) for j in range(p)]])
     sums = words.mapInArrow(scan, schema).groupBy("word").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(p)]).toArrow()
-    out = np.zeros((len(idf), p))
+    out = np.zeros((len(used), p))
     out[sums.column(0).to_numpy()] = np.column_stack([sums.column(j + 1).to_numpy() for j in range(p)])
-    return out
+    return out * used[:, None]
 
 
-def randomised_svd(words: DataFrame, idf: np.ndarray, rank: int = RANK, extra: int = EXTRA) -> tuple[np.ndarray, np.ndarray]:
-    """The leading right singular vectors (as columns) and singular values of the TF-IDF passages; only what carries any weight."""
-    use = np.flatnonzero(idf)
-    p = min(rank + extra, len(use))
-    start = np.zeros((len(idf), p))
-    start[use] = np.random.default_rng(3).standard_normal((len(use), p))
-    q, _ = np.linalg.qr(gram(words, idf, start))
-    z = gram(words, idf, q)
+def randomised_svd(words: DataFrame, weight: np.ndarray, rank: int = RANK, extra: int = EXTRA) -> tuple[np.ndarray, np.ndarray]:
+    """The leading right singular vectors (as columns, over the features with a weight) and singular values of the TF-IDF passages; only what carries any weight."""
+    n = int(np.count_nonzero(weight))
+    q, _ = np.linalg.qr(gram(words, weight, np.random.default_rng(3).standard_normal((n, min(rank + extra, n)))))
+    z = gram(words, weight, q)
     values, turn = np.linalg.eigh((q.T @ z + z.T @ q) / 2)
     order = np.argsort(-values)[:rank]
     order = order[values[order] > 1e-6 * max(values.max(initial=0), 1e-12)]
@@ -236,12 +254,15 @@ def randomised_svd(words: DataFrame, idf: np.ndarray, rank: int = RANK, extra: i
 
 
 def latent_space(spark: SparkSession, docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(IDF and weight of each feature, its vector for folding into the space of the passages of ``docs``)."""
+    """(IDF and weight of each feature, the vectors of those with a weight for folding into the space of the passages of ``docs``, and a zero row)."""
     words = Workspace(spark, "latent").keep(numbered(docs), "words")
     count, n = frequencies(words)
     idf, weight = weights(count, n)
-    directions, values = randomised_svd(words, weight)
-    return idf, weight, (directions / values * weight[:, None]).astype(np.float32)
+    # a task's sums are as large as the space, so there are no more tasks than it takes to use all cores or to hold PARTIAL words each
+    parts = max(2 * spark.sparkContext.defaultParallelism, -(-int(count.sum()) // PARTIAL))
+    directions, values = randomised_svd(words.coalesce(parts), weight)
+    folded = directions / values * weight[weight > 0][:, None]
+    return idf, weight, np.vstack([folded, np.zeros((1, folded.shape[1]))]).astype(np.float32)
 
 
 class Item:
@@ -297,7 +318,7 @@ class Search:
     """What the search over documents needs; its size depends on a block of the benchmark and the space only."""
 
     def __init__(self, vocabulary: Vocabulary, items: list[tuple[int, np.ndarray, np.ndarray]], idf: np.ndarray, weight: np.ndarray, vectors: np.ndarray):
-        self.vocabulary, self.vectors, self.use = vocabulary, vectors, weight > 0
+        self.vocabulary, self.vectors, self.row = vocabulary, vectors, rows_of(weight)
         feature = features_of(vocabulary.sorted)
         #: Content words carry weight or are of the rarer half of an item's words.
         self.content = weight[feature] > 0
@@ -310,8 +331,7 @@ class Search:
         for j, (_, ids, _) in enumerate(items):
             for at in range(0, max(1, len(ids) - 2 * BLOCK + STRIDE), STRIDE):
                 part = ids[at : at + 2 * BLOCK]
-                f = features_of(vocabulary.sorted[part])
-                v = vectors[f[self.use[f]]].sum(0)
+                v = vectors[self.row[features_of(vocabulary.sorted[part])]].sum(0)
                 known = np.unique(part[self.content[part]])
                 if len(known) and (size := np.linalg.norm(v)):
                     keys.append(len(self.owner) * len(vocabulary) + known)
@@ -342,14 +362,14 @@ class Search:
 
     def near(self, features: np.ndarray, of: np.ndarray) -> tuple[Blocks, np.ndarray, np.ndarray, np.ndarray]:
         """Blocks, and for each passage near an item's: its first block, the item's passage, their cosine."""
-        b = Blocks(features, of, self.use)
+        b = Blocks(features, of, self.row)
         none = np.zeros(0, np.int64)
-        if not len(b.word) or not self.queries.size:
+        if not b.n or not self.queries.size:
             return b, none, none, np.zeros(0)
         passages = b.windows(b.sums(self.vectors))
         size = np.linalg.norm(passages, axis=1)
         full = np.flatnonzero(size > 0)
-        out = []
+        out = [(none, none, np.zeros(0, np.float32))]
         for a in range(0, len(full), ROWS):
             rows = full[a : a + ROWS]
             cosine = (passages[rows] / size[rows, None]) @ self.queries

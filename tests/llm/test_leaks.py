@@ -132,8 +132,10 @@ def test_query_against_brute_force(spark, tmp_path):
         own = sorted(set(x), key=lambda w: (-idf[f(w)], np.uint64(hash_word(w))))
         content |= set(own[: -(-len(own) // 2)])
 
+    row = {x: i for i, x in enumerate(np.flatnonzero(weight))}
+
     def fold(part):
-        return sum((vectors[f(w)] for w in part if weight[f(w)] > 0), np.zeros(vectors.shape[1]))
+        return sum((vectors[row[f(w)]] for w in part if weight[f(w)] > 0), np.zeros(vectors.shape[1]))
 
     def longest(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
