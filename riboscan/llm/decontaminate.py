@@ -57,6 +57,8 @@ ITEMS, ITEM_WORDS = 8192, 1 << 20
 RUN = 13
 #: Words of which partial sums are made in one task, at least; passages whose vectors are handled at once.
 PARTIAL, ROWS = 1 << 26, 1024
+#: Bits that tell most words that an item's passage hasn't from those it has.
+SEEN = 1 << 20
 
 
 def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -302,7 +304,9 @@ class Runs:
         if not self.by_size:
             return
         # words of the vocabulary from each place on, inside its document
-        stop = np.union1d(np.flatnonzero(ids < 0), of[1:])
+        ends = np.append(ids < 0, True)
+        ends[of[1:]] = True
+        stop = np.flatnonzero(ends)
         inside = np.flatnonzero(ids >= 0)
         room = stop[np.searchsorted(stop, inside, "right")] - inside if len(inside) else inside
         for n, (keys, known) in self.by_size.items():
@@ -338,9 +342,15 @@ class Search:
                     self.need.append(COVER * len(known))
                     self.owner.append(j)
                     queries.append(v / size)
-                    least.append(COSINE * min(1, len(part) / (2 * BLOCK)) ** 0.5)
+                    least.append(COSINE * min(1, len(part) / (2 * BLOCK)) ** 0.25)
         self.queries = np.array(queries, np.float32).reshape(len(queries), vectors.shape[1]).T
-        self.least, self.keys = np.array(least, np.float32), np.concatenate([*keys, np.zeros(0, np.int64)])
+        self.least, self.need, self.keys = np.array(least, np.float32), np.array(self.need), np.concatenate([*keys, np.zeros(0, np.int64)])
+        self.maybe = np.zeros(SEEN, bool)
+        self.maybe[self._slot(self.keys)] = True
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.astype(np.uint64)) & np.uint64(SEEN - 1)).astype(np.int64)
 
     def matches(self, h: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float | None, float, int]]]:
         """For each document its confirmed items: (cosine, share of the common subsequence, first word of the passage).
@@ -377,14 +387,19 @@ class Search:
             out.append((rows[at], which, cosine[at, which]))
         return b, *(np.concatenate(x) for x in zip(*out, strict=True))
 
-    def covered(self, ids: np.ndarray, of: np.ndarray, start: np.ndarray, stop: np.ndarray, which: np.ndarray) -> np.ndarray:
+    def covered(self, ids: np.ndarray, start: np.ndarray, stop: np.ndarray, which: np.ndarray) -> np.ndarray:
         """Whether the words from ``start`` to ``stop`` have enough of the content words of the item passages ``which``."""
-        n = np.zeros(len(which), np.int64)
+        place = np.flatnonzero((ids >= 0) & self.content[ids])
+        word = ids[place]
+        first, last = np.searchsorted(place, start), np.searchsorted(place, stop)
+        n, at = np.zeros(len(which), np.int64), np.flatnonzero(last - first >= self.need[which])
         for k in range(2 * BLOCK):
-            at = np.minimum(start + k, len(ids) - 1)
-            key = which * len(self.vocabulary) + ids[at]
-            n += (start + k < stop) & (ids[at] >= 0) & (self.keys[np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)] == key)
-        return n >= np.array(self.need)[which]
+            at = at[first[at] + k < last[at]]
+            key = which[at] * len(self.vocabulary) + word[first[at] + k]
+            hit = np.flatnonzero(self.maybe[self._slot(key)])
+            hit = hit[self.keys[np.minimum(np.searchsorted(self.keys, key[hit]), len(self.keys) - 1)] == key[hit]]
+            n[at[hit]] += 1
+        return n >= self.need[which]
 
     def latent_matches(self, features: np.ndarray, ids: np.ndarray, of: np.ndarray) -> dict[int, dict[int, tuple[float | None, float, int]]]:
         """The matches of the latent search."""
@@ -394,7 +409,7 @@ class Search:
             return found
         doc = np.searchsorted(b.first, block, "right") - 1
         start = of[doc] + (block - b.first[doc]) * BLOCK
-        keep = self.covered(ids, of, start, np.minimum(start + 2 * BLOCK, of[doc + 1]), which)
+        keep = self.covered(ids, start, np.minimum(start + 2 * BLOCK, of[doc + 1]), which)
         seen: dict[tuple[int, int, int], float] = {}
         for d, i, x, c in zip(doc[keep].tolist(), which[keep].tolist(), (start - of[doc])[keep].tolist(), cosine[keep].tolist(), strict=True):
             key = (d, self.owner[i], x)

@@ -157,7 +157,7 @@ def test_query_against_brute_force(spark, tmp_path):
                 q, known = fold(part), {y for y in part if y in content}
                 for a, v in folded:
                     size = np.linalg.norm(q) * np.linalg.norm(v)
-                    if not size or q @ v / size < 0.3 * min(1, len(part) / 32) ** 0.5 or sum(y in known for y in w[a : a + 32]) < 0.25 * len(known):
+                    if not size or q @ v / size < 0.3 * min(1, len(part) / 32) ** 0.25 or sum(y in known for y in w[a : a + 32]) < 0.25 * len(known):
                         continue
                     mine, near = [y for y in x if y in content], [y for y in w[max(0, a - len(x)) : a + 32 + len(x)] if y in content]
                     n = longest(mine, near)
