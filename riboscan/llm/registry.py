@@ -1,7 +1,7 @@
 """Queries of the subpackage, and the SQL of those that SQL can express."""
 
 from riboscan.llm.decontaminate import op8_latent_decontamination
-from riboscan.llm.divergence import op5_distribution_divergence
+from riboscan.llm.divergence import OP5_SQL, op5_distribution_divergence
 from riboscan.llm.licenses import op9_license_positions
 from riboscan.llm.near_dedup import OP6_SQL, op6_minhash_components
 from riboscan.llm.packing import op2_length_buckets
@@ -26,6 +26,7 @@ QUERIES = {
 
 SQL = {
     "op1_warc_index_merge": OP1_SQL,
+    "op5_distribution_divergence": OP5_SQL,
     "op6_minhash_components": OP6_SQL,
     "op7_bloom_url_filter": OP7_SQL,
 }
