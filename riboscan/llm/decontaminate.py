@@ -63,9 +63,8 @@ SEEN = 1 << 20
 
 def tokens(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row behind the last, word hashes, word offsets) of slices of a text column, lower-cased."""
-    data, off = text_bytes(pc.utf8_lower(column))
-    for a, b in slices(off):
-        w = Words(data[off[a] : off[b]], off[a : b + 1] - off[a], NOT_ALNUM)
+    for a, b in slices(text_bytes(column)[1]):
+        w = Words(*text_bytes(pc.utf8_lower(column.slice(a, b - a))), NOT_ALNUM)
         yield a, b, w.hashes(), w.of
 
 

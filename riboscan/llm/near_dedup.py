@@ -36,6 +36,8 @@ GROUP = 256
 STAR_ROUNDS = 1
 #: Buckets left with more members are compared in blocks of BLOCK by BLOCK documents, others pair by pair.
 HOT, BLOCK = 16, 256
+#: Shingles of a block that are held in order at a time.
+VALUES = 1 << 19
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -171,20 +173,22 @@ def _linked_blocks(spark: SparkSession, ws: Workspace, hot: DataFrame, docs: Dat
             w = Words(data[off[a] : off[b]], off[a : b + 1] - off[a])
             sets += shingles(w.hashes(), w.of, k)
         size = np.array([len(s) for s in sets])
-        right = np.flatnonzero(part == high)
-        values = np.concatenate([sets[j] for j in right]) if len(right) else np.zeros(0, np.uint64)
-        owner = np.repeat(right, size[right])
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
         x, y = [], []
-        for i in np.flatnonzero(part == low):
-            first, last = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
-            n = last - first
-            at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-            both = np.bincount(owner[at], minlength=len(sets))
-            j = np.flatnonzero((100 * both >= percent * (size[i] + size - both)) & (both > 0) & (own != own[i]))
-            x += [ids[i]] * len(j)
-            y += ids[j].tolist()
+        right = np.flatnonzero(part == high)
+        # some documents of long texts at a time, or all of short ones: what is held doesn't grow with the texts
+        for some in np.split(right, np.flatnonzero(np.diff(np.cumsum(size[right]) // VALUES)) + 1):
+            values = np.concatenate([sets[j] for j in some]) if len(some) else np.zeros(0, np.uint64)
+            owner = np.repeat(some, size[some])
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            for i in np.flatnonzero(part == low):
+                first, last = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+                n = last - first
+                at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                both = np.bincount(owner[at], minlength=len(sets))
+                j = np.flatnonzero((100 * both >= percent * (size[i] + size - both)) & (both > 0) & (own != own[i]))
+                x += [ids[i]] * len(j)
+                y += ids[j].tolist()
         return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
 
     return ws.keep(met.groupBy("tangle", "low", "high").applyInArrow(verify, "a long, b long").distinct(), "links-hot")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riboscan.llm.core import free_name, table
-from riboscan.llm.textkit import text_bytes
+from riboscan.llm.textkit import slices, text_bytes
 
 ROUNDS = 8
 #: Letters and digits around a number would make it part of something else.
@@ -262,8 +262,11 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
         for batch in batches:
             data, off = text_bytes(batch.column(at))
             # only texts with a digit or an @ can hold a value
-            seen = np.concatenate([[0], np.cumsum(((data >= 48) & (data <= 57)) | (data == 64))])
-            may = np.flatnonzero(seen[off[1:]] > seen[off[:-1]]).tolist()
+            may: list[int] = []
+            for a, b in slices(off):
+                part = data[off[a] : off[b]]
+                at_sign = np.flatnonzero(((part >= 48) & (part <= 57)) | (part == 64)) + off[a]
+                may += (a + np.flatnonzero(np.diff(np.searchsorted(at_sign, off[a : b + 1])))).tolist()
             arrays, kinds = list(batch.columns), [[] for _ in range(batch.num_rows)]
             changed: dict[int, str] = {}
             for i in may:
