@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,33 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
+#: Rows that go to a Python worker at once, where the session has no setting of its own; texts make rows large.
+BATCH_ROWS, _BATCH = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> bool:
+    """Sets the bound, unless the session has one; says whether it did.
+
+    For applications: a plan reads the setting when it runs, so one that is
+    returned to be run later needs it to stay.
+    """
+    if _BATCH in spark.conf.getAll:
+        return False
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    return True
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """The bound for what runs inside; the session's settings are as before afterwards."""
+    ours = bound_batches(spark)
+    try:
+        yield
+    finally:
+        if ours:
+            spark.conf.unset(_BATCH)
+
+
 class Workspace:
     """Tables written in the shared folder; they outlive a lost executor.
 
@@ -55,7 +84,8 @@ class Workspace:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(self.path(name))
+        with small_batches(self.spark):
+            df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
