@@ -36,7 +36,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riboscan.llm.core import Workspace, table
 from riboscan.llm.textkit import NOT_ALNUM, Words, mix, slices, text_bytes
@@ -233,16 +232,28 @@ def gram(words: DataFrame, weight: np.ndarray, right: np.ndarray) -> np.ndarray:
                 b = Blocks(ids, of, row)
                 if b.n:
                     b.spread(b.windows(b.sums(vectors)), total)
-        rows = np.flatnonzero(np.abs(total).sum(1))
-        yield pa.record_batch([pa.array(rows), *[pa.array(total[rows, j].astype(np.float32)) for j in range(p)]], names=["word", *[f"c{j}" for j in range(p)]])
+        yield _sums(np.arange(len(total) - 1), total[:-1].astype(np.float32))
 
-    schema = T.StructType([T.StructField("word", T.LongType()), *[T.StructField(f"c{j}", T.FloatType()) for j in range(p)]])
-    sums = words.mapInArrow(scan, schema).groupBy("word").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(p)]).toArrow()
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for word, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[word] = total.get(word, 0) + np.frombuffer(part, np.float32).astype(float)
+        if total:
+            yield _sums(np.array(list(total)), np.array(list(total.values())).astype(np.float32))
+
+    # a vector is one value, so plans and batches stay small whatever the rank
+    schema = "word long, sums binary"
+    sums = words.mapInArrow(scan, schema).repartition("word").mapInArrow(add, schema).toArrow()
     out = np.zeros((len(used), p))
-    out[sums.column(0).to_numpy()] = np.column_stack([sums.column(j + 1).to_numpy() for j in range(p)])
+    out[sums.column(0).to_numpy()] = np.frombuffer(b"".join(sums.column(1).to_pylist()), np.float32).reshape(-1, p)
     return out * used[:, None]
 
 
+def _sums(words: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(words), pa.array([v.tobytes() for v in vectors], pa.binary())], names=["word", "sums"])
+
+
 def randomised_svd(words: DataFrame, weight: np.ndarray, rank: int = RANK, extra: int = EXTRA) -> tuple[np.ndarray, np.ndarray]:
     """The leading right singular vectors (as columns, over the features with a weight) and singular values of the TF-IDF passages; only what carries any weight."""
     n = int(np.count_nonzero(weight))
