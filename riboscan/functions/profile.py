@@ -42,3 +42,18 @@ def good_nucleotide(nt: Column, background: Column | None, depths: list[Column],
 def n7_log(factor: Column, value: Column) -> Column:
     """log2(factor / value); 3.32 for negative values."""
     return F.when(value < 0, F.lit(3.32)).otherwise(F.log2(F.try_divide(factor, value)))
+
+
+# fixed values: how much more reactive each base is to a reagent
+REAGENTS = {
+    "5NIA": {"A": 0.474700, "U": 0.122603, "G": 0.272967, "C": 0.129731},
+    "1M7": {"A": 0.301910, "U": 0.269965, "G": 0.265406, "C": 0.162718},
+}
+
+
+def rescale(nt: Column, value: Column, reagent: str, how: str = "down") -> Column:
+    """``value`` over its base's reactivity; the largest factor is 1 for ``down``, the least for ``up``. Other bases stay."""
+    inverse = {b: 1 / f for b, f in REAGENTS[reagent].items()}
+    unit = {"down": max, "up": min}[how](inverse.values())
+    factor = F.element_at(F.create_map(*[F.lit(x) for b, f in inverse.items() for x in (b, f / unit)]), nt)
+    return value * F.coalesce(factor, F.lit(1.0))

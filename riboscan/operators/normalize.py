@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -53,3 +53,8 @@ def n7_factors(df: DataFrame, value: str, nt: str, pos: str, keys: list[str]) ->
     )
     few = (F.col("n_pur") < 15) | (F.col("n_pyr") < 15)
     return q.select(*keys, F.when(few, F.col("pool")).otherwise(F.col("pur")).alias("gpur"), F.when(few, F.col("pool") / 0.65).otherwise(F.col("pyr")).alias("gpyr"))
+
+
+def n7_suppressed(gpur: Column, gpyr: Column, least: float = 0.015) -> Column:
+    """Whether either factor is too low for N7 outputs."""
+    return F.coalesce((gpur < least) | (gpyr < least), F.lit(False))

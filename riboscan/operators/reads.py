@@ -109,3 +109,13 @@ def merge_adjacent(df: DataFrame, keys: list[str]) -> DataFrame:
     run = df.withColumn("_group", F.sum((~touch).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     parts = run.groupBy(*keys, "_group").agg(F.array_sort(F.collect_list(F.struct("left", "right", "seq", "freq"))).alias("v"))
     return parts.select(*keys, F.col("v")[0]["left"].alias("left"), F.element_at("v", -1)["right"].alias("right"), F.array_join(F.col("v.seq"), "").alias("seq"), F.col("v")[0]["freq"].alias("freq"))
+
+
+def spans(left: Column, right: Column, first: int, last: int) -> Column:
+    """Whether a read covers all places from ``first`` to ``last``."""
+    return (left <= first) & (right >= last)
+
+
+def without_placeholders(df: DataFrame, seq: str) -> DataFrame:
+    """Reads but for those that trimming left one base or none of."""
+    return df.filter(F.length(seq) > 1)

@@ -425,3 +425,6 @@ def mate_base_merge(spark, d):
     r = P.read(spark, d, "orders").select(F.col("o_orderkey").alias("read_id"), (F.col("o_custkey") % 20).cast("int").alias("a"), q.alias("q"), (F.col("o_custkey") % 45).cast("int").alias("b"), u.alias("u"))
     seq, qual = T.merge_mate_bases(F.col("a"), F.translate("q", HEX, DNA), F.col("q"), F.col("b"), F.translate("u", HEX, DNA), F.col("u"))
     return r.select("read_id", seq.alias("seq"), qual.alias("qual"))
+
+
+from riboscan.plans import reports  # noqa: E402, F401  (adds its queries)

@@ -80,7 +80,7 @@ def read_profile(spark: SparkSession, path) -> DataFrame:
 
 
 def _six(c: Column) -> Column:
-    return F.coalesce(F.format_string("%.6f", c), F.lit("nan"))
+    return F.when(c.isNull(), F.lit("nan")).otherwise(F.format_string("%.6f", c))
 
 
 def write_shape(df: DataFrame, path: str) -> None:
