@@ -203,12 +203,20 @@ def process_reads(reads: DataFrame, least: int = 30, kind: str = "", separation:
     null), primers (its four places or null), and left, cigar, md, seq, qual of
     the read and, with a 2 behind the name, of its mate (null without one).
     Reads that aren't INCLUDED keep their mapped depth and raw mutations only.
+    For ``dms`` the record has the G-to-A channel as well: depth_ga, count_ga
+    and mutations_ga.
     """
     own = ("left", "cigar", "md", "seq", "qual")
     names = ["read_type", "read_id", "rna", "category", "reverse", "primer", "primers", *own, *[f"{c}2" for c in own]]
     item = pa.struct([("left", pa.int32()), ("right", pa.int32()), *[(c, pa.string()) for c in ("seq", "qual", "tag")], ("ambig", pa.bool_())])
     kinds = [*[pa.string()] * 3, pa.int32(), pa.int32(), pa.string(), pa.int32(), *[pa.list_(pa.bool_())] * 3, pa.list_(item)]
     fields = [c.split()[0] for c in RECORD.split(", ")]
+    schema = RECORD
+    if kind == "dms":
+        channel = ("depth", "count", "mutations")
+        kinds += [kinds[fields.index(c)] for c in channel]
+        schema += "".join(f", {c}_ga {RECORD[RECORD.index(f' {c} ') + len(c) + 2 :].split(', ')[0]}" for c in channel)
+        fields = [*fields, *[f"{c}_ga" for c in channel]]
 
     def one(x: dict) -> tuple:
         if x["md"] is None or (x["left2"] is not None and x["md2"] is None):
@@ -217,6 +225,7 @@ def process_reads(reads: DataFrame, least: int = 30, kind: str = "", separation:
         if x["left2"] is not None:
             r = resolve_mates(r, aligned(*[x[f"{c}2"] for c in own]))
         mapped = [b != "_" for b in r.target]
+        ga = ([False] * len(mapped), [False] * len(mapped), [])
         depth, count, kept = [False] * len(mapped), [False] * len(mapped), [(*m[:4], tag_of(m, r.target, r.left), m.ambig) for m in r.mutations]
         if x["category"] == "INCLUDED":
             if x["primers"] is not None:
@@ -225,18 +234,22 @@ def process_reads(reads: DataFrame, least: int = 30, kind: str = "", separation:
                 r = without_end(r, random_primer + 1, x["reverse"])
             if not variant:
                 r = join_nearby(place_indels(r, right_gaps, right_inserts), separation - 1)
-            tagged = {Tagged(*m[:4], tag_of(m, r.target, r.left)): m.ambig for m in r.mutations}
-            out = quality_filter(list(tagged), r.qual, r.depth, r.left, least, kind, variant)
-            depth, count, kept = out.depth, out.count, [(*m, tagged[m]) for m in out.kept]
-        names = ("left", "right", "seq", "qual", "tag", "ambig")
-        return (x["read_type"], x["read_id"], x["rna"], r.left, r.left + len(mapped) - 1, x["category"], x["primer"], mapped, depth, count, [dict(zip(names, m, strict=True)) for m in kept])
+            tagged = [Tagged(*m[:4], tag_of(m, r.target, r.left)) for m in r.mutations]
+            ambig = {t: m.ambig for t, m in zip(tagged, r.mutations, strict=True)}
+            out = quality_filter(tagged, r.qual, r.depth, r.left, least, kind, variant)
+            depth, count, kept = out.depth, out.count, [(*m, ambig[m]) for m in out.kept]
+            ga = (out.ga_depth, out.ga_count, [(*m, ambig[m]) for m in out.ga])
+        parts = ("left", "right", "seq", "qual", "tag", "ambig")
+        told = lambda found: [dict(zip(parts, m, strict=True)) for m in found]
+        main = (x["read_type"], x["read_id"], x["rna"], r.left, r.left + len(mapped) - 1, x["category"], x["primer"], mapped, depth, count, told(kept))
+        return (*main, *ga[:2], told(ga[2])) if kind == "dms" else main
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [one(x) for x in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=fields)
 
-    return reads.select(names).mapInArrow(scan, RECORD)
+    return reads.select(names).mapInArrow(scan, schema)
 
 
 def pair_mates(sam: DataFrame, most: int = 800) -> DataFrame:

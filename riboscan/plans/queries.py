@@ -427,4 +427,4 @@ def mate_base_merge(spark, d):
     return r.select("read_id", seq.alias("seq"), qual.alias("qual"))
 
 
-from riboscan.plans import reports  # noqa: E402, F401  (adds its queries)
+from riboscan.plans import chains, reports  # noqa: E402, F401  (they add their queries)

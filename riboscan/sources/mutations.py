@@ -13,6 +13,11 @@ def _bits(c: str) -> Column:
     return F.array_join(F.transform(c, lambda b: b.cast("int").cast("string")), "")
 
 
+def ga_records(records: DataFrame) -> DataFrame:
+    """The G-to-A channel of ``dms`` records, as records of their own."""
+    return records.select(*[F.col(f"{c}_ga").alias(c) if f"{c}_ga" in records.columns else F.col(c) for c in records.columns if not c.endswith("_ga")])
+
+
 def write_mutations(records: DataFrame, path: str) -> None:
     """Ten tab-separated fields a line (``functions.reads.RECORD`` but for rna); an ambiguous mutation's class ends in ``_ambig``."""
     quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
