@@ -46,7 +46,7 @@ STRIDE = 8
 #: A power of two; a feature's number fits 16 bits.
 FEATURES = 8192
 MOST_SHARE = 0.02
-RANK, EXTRA = 128, 8
+RANK, EXTRA = 96, 8
 COSINE, COVER, SURE, LEAST, ANSWER = 0.3, 0.25, 0.6, 0.35, 0.2
 #: How unlikely a common subsequence must be by chance, in nats: by the words' shares in the corpus, for any choice of the item's words, in one order.
 EVIDENCE = 24.0
