@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from riboscan.plans.queries import QUERIES
 
-HEADLINE = ("rates_by_position", "class_counts_pivot", "coverage_depth", "reactivity_three_sample", "norm_profile", "pernt_factor", "quality_trim", "collapse_mutations", "variant_filter", "mate_join_concordance", "nearest_primer", "qc_shape")
+HEADLINE = ("rates_by_position", "class_counts_pivot", "coverage_depth", "reactivity_three_sample", "norm_profile", "pernt_factor", "quality_trim", "collapse_mutations", "variant_filter", "mate_join_concordance", "nearest_primer", "qc_shape", "chain_counts", "correct_sequences", "group_vs_indiv_norm", "primer_pair_depths")
 
 
 def main() -> None:

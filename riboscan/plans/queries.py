@@ -150,7 +150,7 @@ def n7_norm(spark, d):
     p = p.withColumn("nb", F.lead("b").over(Window.partitionBy("rna").orderBy("pos")))
     k = N.n7_factors(p, "reactivity", "b", "pos", ["rna"])
     v, factor = F.col("reactivity"), F.when(F.col("nb").isin("A", "G"), F.col("gpur")).otherwise(F.col("gpyr"))
-    return p.filter("b = 'G'").join(F.broadcast(k), "rna").select("rna", "pos", F.when(F.col("nb").isNotNull() & v.isNotNull() & (v != 0), F.round(n7_log(factor, v), 6)).alias("n7"))
+    return p.filter("b = 'G'").join(k, "rna").select("rna", "pos", F.when(F.col("nb").isNotNull() & v.isNotNull() & (v != 0), F.round(n7_log(factor, v), 6)).alias("n7"))
 
 
 @query("""WITH s AS (SELECT doc_id, regexp_replace(text, '[^ -~]', '', 'g') AS seq FROM documents),
