@@ -38,6 +38,8 @@ STAR_ROUNDS = 1
 HOT, BLOCK = 16, 256
 #: Shingles of a block that are held in order at a time.
 VALUES = 1 << 19
+#: Keys with more than this share of all rows are joined by broadcast: there are fewer than 1,024 of them.
+HOT_SHARE = 1 / 1024
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,6 +93,17 @@ def signed(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(scan, SIGNED)
 
 
+def _with_key(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` joined with ``keys`` (one row a key, its rows counted in ``n``), so that no task gets all rows of a hot key.
+
+    ``rows`` is a written table; ``n`` counts its rows, so hot keys are few at any size.
+    """
+    least = HOT_SHARE * rows.count()
+    hot = F.broadcast(keys.filter(F.col("n") > least))
+    rest = rows.join(hot.select("key"), "key", "left_anti").join(keys.filter(F.col("n") <= least), "key")
+    return rows.join(hot, "key").union(rest)
+
+
 def _agreeing(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
     """Signature verification: drops pairs whose minima agree too rarely for the threshold.
 
@@ -150,10 +163,10 @@ def _linked_blocks(spark: SparkSession, ws: Workspace, hot: DataFrame, docs: Dat
 
     Documents tied by hot buckets form a tangle, which is cut into parts of
     about BLOCK. Each two parts of a tangle meet in one group, which compares
-    their full sets and yields the links alone.
+    their full sets and yields the links alone. ``least`` in ``hot`` is the
+    smallest doc_id of the row's bucket.
     """
-    least = hot.groupBy("key").agg(F.min("doc_id").alias("b"))
-    ties = ws.keep(hot.join(least, "key").select(F.col("doc_id").alias("a"), "b").distinct(), "ties")
+    ties = ws.keep(hot.select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct(), "ties")
     if not ties.limit(1).count():
         return None
     tangles = components(spark, ws, ties, "tangles")
@@ -237,8 +250,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     reps = ws.keep(full.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
     alone = full.join(reps.select(F.col("rep").alias("doc_id"), F.col("fp").alias("rep_fp")), "doc_id").filter("fp = rep_fp")
     keyed = ws.keep(alone.select("doc_id", F.explode("keys").alias("key")), "keyed")
-    crowd = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    placed = ws.keep(keyed.join(crowd, "key").withColumn("comp", F.col("doc_id")), "placed-0")
+    crowd = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    placed = ws.keep(_with_key(keyed, crowd).select("key", "doc_id", F.col("doc_id").alias("comp")), "placed-0")
     ws.drop("keyed")
     short, tested, links, comps = full.select("doc_id", "sig"), None, None, None
     for i in range(STAR_ROUNDS + 1):
@@ -246,15 +259,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
         if i < STAR_ROUNDS:
             # one order for all buckets at first, so that a large group has few hubs; then another for each bucket
             rank = F.xxhash64("doc_id") if i == 0 else F.xxhash64("doc_id", "key", F.lit(i))
-            hubs = placed.groupBy("key").agg(F.min_by(F.struct("doc_id", "comp"), rank).alias("hub"))
-            pairs = placed.join(hubs, "key").filter("comp <> hub.comp").select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b"))
+            hubs = placed.groupBy("key").agg(F.min_by(F.struct("doc_id", "comp"), rank).alias("hub"), F.count("*").alias("n"))
+            pairs = _with_key(placed, hubs).filter("comp <> hub.comp").select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b"))
         else:
-            size = placed.groupBy("key").agg(F.count("*").alias("n"))
-            hot = placed.join(size.filter(F.col("n") > HOT), "key").drop("n")
+            size = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
+            sized = ws.keep(_with_key(placed, size), "sized")
+            hot = sized.filter(F.col("n") > HOT)
             found = _linked_blocks(spark, ws, hot, docs, k, percent)
             if found is not None:
                 links = found if links is None else links.union(found)
-            few = placed.join(size.filter(F.col("n") <= HOT).select("key"), "key")
+            few = sized.filter(F.col("n") <= HOT).select("key", "doc_id", "comp")
             pairs = few.toDF("key", "a", "comp_a").join(few.toDF("key", "b", "comp_b"), "key").filter("comp_a < comp_b").select("a", "b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
@@ -271,12 +285,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
         tested = pairs if tested is None else tested.union(pairs)
         now = placed.select("key", "doc_id")
         now = now.withColumn("comp", F.col("doc_id")) if comps is None else now.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
-        split = now.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least < most").select("key")
-        placed = ws.keep(now.join(split, "key"), f"placed-{i + 1}")
-        ws.drop(f"placed-{i}")
+        now = ws.keep(now, "now")
+        split = now.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).filter("least < most")
+        placed = ws.keep(_with_key(now, split).select("key", "doc_id", "comp"), f"placed-{i + 1}")
+        ws.drop("now", f"placed-{i}")
         if not placed.limit(1).count():
             break
-    ws.drop(*[f"{n}-{i}" for n in ("pairs", "close", "placed") for i in range(STAR_ROUNDS + 1)])
+    ws.drop("sized", *[f"{n}-{i}" for n in ("pairs", "close", "placed") for i in range(STAR_ROUNDS + 1)])
     if comps is None:
         comps = spark.createDataFrame([], "id long, comp long")
     by_fp = reps.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("comp", "rep").alias("comp"))
