@@ -1,9 +1,8 @@
 """Packing into batches of a token budget, inside optimal length buckets.
 
-The histogram of lengths over all documents is exact up to EXACT distinct
-lengths. With more, it is exact up to FINE tokens and has 1/128 steps above, so
-it has a few thousand bins whatever the corpus. Dynamic programming over it
-chooses, among all lengths or the longest of each bin, the bucket bounds that
+The histogram of lengths over all documents is exact at any size: a corpus of T
+tokens has at most sqrt(2 T) distinct lengths, 16 bytes each on the driver.
+Dynamic programming over it chooses, among all lengths, the bucket bounds that
 minimise padding, where each document is padded to its bucket's bound. Inside
 each bucket, documents form batches of as many rows as the budget holds at the
 padded length.
@@ -16,6 +15,7 @@ last batch of a shard can be short.
 from __future__ import annotations
 
 import math
+from collections import deque
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +25,8 @@ from pyspark.sql.window import Window
 
 from riboscan.llm.core import Workspace, free_name, table
 
+#: Distinct lengths held as Python's exact integers at a time; bounds are the same whatever it is.
 EXACT = 16384
-FINE = 1024
 SHARD, SHARD_TOKENS = 20000, 1 << 24
 
 
@@ -57,33 +57,42 @@ def tokenizer_tokens(path: str):
     return count
 
 
-def length_bin(n: Column) -> Column:
-    """The upper end of a length's histogram bin."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - 7)
-    return F.when(n <= FINE, n).otherwise((F.ceil(n / step) * step).cast("long"))
-
-
 def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Upper bounds of at most ``buckets`` buckets that minimise sum(count * (bound - length)).
 
-    lengths: distinct and ascending. cost[k][j] is the least total of padded
-    tokens of the first j lengths in k buckets; a bound is always a length that
-    occurs.
+    lengths: distinct and ascending. cost[j] is the least total of padded tokens
+    of the first j lengths in the buckets so far; a bound is always a length that
+    occurs. A last bucket from i to j costs cost[i] + (total[j] - total[i]) *
+    lengths[j - 1], so the best i is the lowest of the lines cost[i] - total[i] * x
+    at x = lengths[j - 1]. x rises and the lines fall ever faster: their lower hull
+    is kept in order, and the work is in proportion to the lengths. Of equal
+    choices the smallest i is taken.
     """
     m = len(lengths)
     if not m:
         return []
-    total = np.concatenate([[0], np.cumsum(counts)]).astype(float)
-    cost = np.full(m + 1, np.inf)
-    cost[0] = 0
+    total = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    cost = None
     back = []
     for _ in range(min(buckets, m)):
-        new, origin = np.full(m + 1, np.inf), np.zeros(m + 1, int)
-        new[0] = 0
-        for j in range(1, m + 1):
-            tried = cost[:j] + (total[j] - total[:j]) * lengths[j - 1]
-            origin[j] = int(np.argmin(tried))
-            new[j] = tried[origin[j]]
+        new, origin = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+        hull: deque[tuple[int, int, int]] = deque()  # (i, total[i], cost[i])
+        for start in range(0, m, EXACT):
+            of = slice(start, start + EXACT)
+            costs = cost[:m][of].tolist() if cost is not None else []
+            after = []
+            for at, (x, before, upto) in enumerate(zip(lengths[of].tolist(), total[:m][of].tolist(), total[1:][of].tolist(), strict=True)):
+                i = start + at
+                if costs or not i:  # the first bucket begins with the first length
+                    c = costs[at] if costs else 0
+                    # the last line goes if the new one is below it wherever it is below the line before it
+                    while len(hull) > 1 and (c - hull[-1][2]) * (hull[-1][1] - hull[-2][1]) <= (hull[-1][2] - hull[-2][2]) * (before - hull[-1][1]):
+                        hull.pop()
+                    hull.append((i, before, c))
+                while len(hull) > 1 and hull[1][2] - hull[1][1] * x < hull[0][2] - hull[0][1] * x:
+                    hull.popleft()
+                after.append((hull[0][0], hull[0][2] + (upto - hull[0][1]) * x))
+            origin[1:][of], new[1:][of] = zip(*after, strict=True)
         back.append(origin)
         cost = new
     out, j = [], m
@@ -115,12 +124,8 @@ def pack(spark: SparkSession, docs: DataFrame, budget: int = 32768, buckets: int
     # rows without a doc_id, or with a common one, are dealt by their texts
     measured = docs.select("doc_id", tokens("text").alias("n_tokens"), F.xxhash64("doc_id", "text").alias("_deal"))
     lengths = ws.keep(measured, "lengths")
-    count, longest = F.count("*").alias("n"), F.max("n_tokens").alias("longest")
-    rows = lengths.groupBy("n_tokens").agg(count, longest).limit(EXACT + 1).collect()
-    if len(rows) > EXACT:
-        rows = lengths.groupBy(length_bin(F.col("n_tokens"))).agg(count, longest).collect()
-    rows.sort(key=lambda r: r.longest)
-    at, count = np.array([r.longest for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
+    histogram = lengths.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow().sort_by("n_tokens")
+    at, count = histogram["n_tokens"].to_numpy(), histogram["n"].to_numpy()
     bounds = optimal_bounds(at, count, buckets)
     names, taken = [], ["doc_id", "_deal", *PLACES]
     for c in carry:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riboscan.llm import packing
 from riboscan.llm.packing import optimal_bounds, pack
@@ -22,3 +23,38 @@ def test_bounds_are_lengths_that_occur(spark, monkeypatch, exact):
     assert all(r.n_tokens <= r.bucket_tokens for r in got)
     if exact > len(lengths):
         assert bounds == optimal_bounds(*np.unique(lengths, return_counts=True), 4)
+
+
+def all_splits(at, n, buckets):
+    """Least sum of padded tokens, every split of every prefix tried."""
+    total = np.concatenate([[0], np.cumsum(n)])
+    cost = np.where(np.arange(len(at) + 1) > 0, np.inf, 0.0)
+    for _ in range(buckets):
+        cost = np.array([0.0, *[(cost[:j] + (total[j] - total[:j]) * at[j - 1]).min() for j in range(1, len(at) + 1)]])
+    return int(cost[-1])
+
+
+def padded(at, n, bounds):
+    return int((np.array(bounds)[np.searchsorted(bounds, at)] * n).sum())
+
+
+def test_bounds_stay_optimal_with_any_number_of_lengths(spark):
+    rng = np.random.default_rng(5)
+    lengths = np.concatenate([rng.permutation(np.arange(1, 70000))[: packing.EXACT + 2000], rng.integers(1, 3000, 4000)])
+    docs = spark.createDataFrame([(i, str(n)) for i, n in enumerate(lengths.tolist())], "doc_id long, text string")
+    got = pack(spark, docs, buckets=3, tokens=lambda text: F.col(text).cast("long")).select("n_tokens", "bucket_tokens", "padding").toPandas()
+    at, n = np.unique(lengths, return_counts=True)
+    assert len(at) > packing.EXACT and len(got) == len(lengths) and (got.bucket_tokens - got.n_tokens == got.padding).all()
+    assert got.bucket_tokens.sum() == all_splits(at, n, 3)
+
+
+def test_bounds_do_not_depend_on_the_slice(monkeypatch):
+    rng = np.random.default_rng(6)
+    for m in (1, 2, 9, 300):
+        at, n = np.sort(rng.permutation(4 * m)[:m]), rng.integers(1, 4, m)
+        want = optimal_bounds(at, n, 5)
+        assert padded(at, n, want) == all_splits(at, n, 5)
+        for exact in (1, 7, 299):
+            monkeypatch.setattr(packing, "EXACT", exact)
+            assert optimal_bounds(at, n, 5) == want
+        monkeypatch.undo()
