@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from riboscan.llm import packing
 from riboscan.llm.packing import optimal_bounds, pack
 
@@ -58,3 +59,13 @@ def test_bounds_do_not_depend_on_the_slice(monkeypatch):
             monkeypatch.setattr(packing, "EXACT", exact)
             assert optimal_bounds(at, n, 5) == want
         monkeypatch.undo()
+
+
+def test_pipeline_bounds_have_no_switch(spark, monkeypatch):
+    monkeypatch.setattr(packing, "EXACT", 70)
+    rng = np.random.default_rng(8)
+    lengths = np.concatenate([rng.permutation(np.arange(1025, 6000))[:1500], rng.integers(1, 1025, 100)])
+    docs = spark.createDataFrame([(i, "w " * n) for i, n in enumerate(lengths.tolist())], "doc_id long, text string")
+    got = corpus_pipeline.packing(spark, docs, "").select("doc_id", "text", "n_tokens", "bucket_tokens").toPandas().sort_values("doc_id")
+    assert got.n_tokens.tolist() == lengths.tolist() and got.text.tolist() == ["w " * n for n in lengths.tolist()]
+    assert got.bucket_tokens.sum() == all_splits(*np.unique(lengths, return_counts=True), 8)
