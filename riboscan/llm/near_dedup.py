@@ -38,7 +38,7 @@ STAR_ROUNDS = 1
 HOT, BLOCK = 16, 256
 #: Shingles of a block that are held in order at a time.
 VALUES = 1 << 19
-#: Keys with more than this share of all rows are joined by broadcast: there are fewer than 1,024 of them.
+#: Keys with more than this share of all rows are listed on the driver and joined by broadcast: there are fewer than 1,024 of them.
 HOT_SHARE = 1 / 1024
 
 
@@ -93,15 +93,19 @@ def signed(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(scan, SIGNED)
 
 
-def _with_key(rows: DataFrame, keys: DataFrame) -> DataFrame:
+def _with_key(ws: Workspace, rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
     """``rows`` joined with ``keys`` (one row a key, its rows counted in ``n``), so that no task gets all rows of a hot key.
 
-    ``rows`` is a written table; ``n`` counts its rows, so hot keys are few at any size.
+    ``rows`` is a written table; ``n`` counts its rows, so hot keys are few at
+    any size. They come to the driver and split both sides by a filter: each
+    row passes one join, which makes a row of it at most. ``keys`` is written as ``name``.
     """
-    least = HOT_SHARE * rows.count()
-    hot = F.broadcast(keys.filter(F.col("n") > least))
-    rest = rows.join(hot.select("key"), "key", "left_anti").join(keys.filter(F.col("n") <= least), "key")
-    return rows.join(hot, "key").union(rest)
+    keys = ws.keep(keys, name)
+    hot = [r.key for r in keys.filter(F.col("n") > HOT_SHARE * rows.count()).select("key").collect()]
+    if not hot:
+        return rows.join(keys, "key")
+    is_hot = F.col("key").isin(hot)
+    return rows.filter(is_hot).join(F.broadcast(keys.filter(is_hot)), "key").union(rows.filter(~is_hot).join(keys.filter(~is_hot), "key"))
 
 
 def _agreeing(pairs: DataFrame, sigs: DataFrame, threshold: float) -> DataFrame:
@@ -251,8 +255,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     alone = full.join(reps.select(F.col("rep").alias("doc_id"), F.col("fp").alias("rep_fp")), "doc_id").filter("fp = rep_fp")
     keyed = ws.keep(alone.select("doc_id", F.explode("keys").alias("key")), "keyed")
     crowd = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    placed = ws.keep(_with_key(keyed, crowd).select("key", "doc_id", F.col("doc_id").alias("comp")), "placed-0")
-    ws.drop("keyed")
+    placed = ws.keep(_with_key(ws, keyed, crowd, "crowd").select("key", "doc_id", F.col("doc_id").alias("comp")), "placed-0")
+    ws.drop("keyed", "crowd")
     short, tested, links, comps = full.select("doc_id", "sig"), None, None, None
     for i in range(STAR_ROUNDS + 1):
         found = None
@@ -260,10 +264,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
             # one order for all buckets at first, so that a large group has few hubs; then another for each bucket
             rank = F.xxhash64("doc_id") if i == 0 else F.xxhash64("doc_id", "key", F.lit(i))
             hubs = placed.groupBy("key").agg(F.min_by(F.struct("doc_id", "comp"), rank).alias("hub"), F.count("*").alias("n"))
-            pairs = _with_key(placed, hubs).filter("comp <> hub.comp").select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b"))
+            pairs = _with_key(ws, placed, hubs, f"hubs-{i}").filter("comp <> hub.comp").select(F.col("hub.doc_id").alias("a"), F.col("doc_id").alias("b"))
         else:
             size = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
-            sized = ws.keep(_with_key(placed, size), "sized")
+            sized = ws.keep(_with_key(ws, placed, size, "size"), "sized")
             hot = sized.filter(F.col("n") > HOT)
             found = _linked_blocks(spark, ws, hot, docs, k, percent)
             if found is not None:
@@ -287,11 +291,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
         now = now.withColumn("comp", F.col("doc_id")) if comps is None else now.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("comp", "doc_id").alias("comp"))
         now = ws.keep(now, "now")
         split = now.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("n")).filter("least < most")
-        placed = ws.keep(_with_key(now, split).select("key", "doc_id", "comp"), f"placed-{i + 1}")
-        ws.drop("now", f"placed-{i}")
+        placed = ws.keep(_with_key(ws, now, split, f"split-{i}").select("key", "doc_id", "comp"), f"placed-{i + 1}")
+        ws.drop("now", f"split-{i}", f"hubs-{i}", f"placed-{i}")
         if not placed.limit(1).count():
             break
-    ws.drop("sized", *[f"{n}-{i}" for n in ("pairs", "close", "placed") for i in range(STAR_ROUNDS + 1)])
+    ws.drop("sized", "size", *[f"{n}-{i}" for n in ("pairs", "close", "placed") for i in range(STAR_ROUNDS + 1)])
     if comps is None:
         comps = spark.createDataFrame([], "id long, comp long")
     by_fp = reps.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("fp", F.coalesce("comp", "rep").alias("comp"))

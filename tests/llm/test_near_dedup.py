@@ -77,6 +77,22 @@ def test_components_of_paths_and_stars(spark):
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 130)} | {i: 200 for i in range(200, 204)}
 
 
+def test_rows_of_hot_keys_pass_one_join(spark):
+    """No join beside the one that gives a row its key's columns, whether a table has hot keys or not."""
+    ws = Workspace(spark, "test")
+    for name, shares in (("hot", [(-7, 900), (5, 800)]), ("even", [])):
+        ids = iter(range(10**6))
+        listed = [(k, next(ids)) for k, n in [*shares, *[(100 + j, 3) for j in range(1100)]] for _ in range(n)]
+        rows = ws.keep(spark.createDataFrame(listed, "key long, doc_id long"), f"rows-{name}")
+        keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).filter("key <> 103")
+        out = near_dedup._with_key(ws, rows, keys, f"keys-{name}")
+        got = sorted(tuple(r) for r in out.select("key", "doc_id", "n", "least").collect())
+        assert got == sorted(tuple(r) for r in rows.join(keys, "key").select("key", "doc_id", "n", "least").collect())
+        assert len(got) == len(listed) - 3
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" not in plan and plan.count("Join Inner") == (2 if shares else 1)
+
+
 def test_query_matches_sql(spark, sf_dir):
     c = duckdb.connect()
     c.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
