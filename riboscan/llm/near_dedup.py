@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from riboscan.llm.bloom import BlockedBloom
 from riboscan.llm.core import Workspace, table
@@ -166,19 +167,31 @@ def _linked_blocks(spark: SparkSession, ws: Workspace, hot: DataFrame, docs: Dat
     """Links between components of documents that meet in hot buckets; None without such buckets.
 
     Documents tied by hot buckets form a tangle, which is cut into parts of
-    about BLOCK. Each two parts of a tangle meet in one group, which compares
-    their full sets and yields the links alone. ``least`` in ``hot`` is the
-    smallest doc_id of the row's bucket.
+    about BLOCK: a component of BLOCK or more has parts of its own, the others
+    share theirs. Each two parts of a tangle meet in one group, but for parts of
+    the same component. It compares their full sets and yields links alone, and
+    of these only such as join components that the group has not joined yet.
+    ``least`` in ``hot`` is the smallest doc_id of the row's bucket.
     """
     ties = ws.keep(hot.select(F.col("doc_id").alias("a"), F.col("least").alias("b")).distinct(), "ties")
     if not ties.limit(1).count():
         return None
     tangles = components(spark, ws, ties, "tangles")
     members = hot.select(F.col("doc_id").alias("id"), F.col("comp").alias("own")).distinct().join(tangles.withColumnRenamed("comp", "tangle"), "id")
-    parts = members.groupBy("tangle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    members = ws.keep(members.join(parts, "tangle").select(F.col("id").alias("doc_id"), "own", "tangle", "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")), "members")
+    members = ws.keep(members, "tangled")
+    # start: the first of a component's own parts; shared parts come first and have no owner
+    sizes = members.groupBy("tangle", "own").agg(F.count("*").alias("n")).withColumn("owner", F.when(F.col("n") >= BLOCK, F.col("own")))
+    cut = sizes.groupBy("tangle", "owner").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("cut"))
+    cut = ws.keep(cut.withColumn("start", (F.sum("cut").over(Window.partitionBy("tangle").orderBy(F.col("owner").asc_nulls_first())) - F.col("cut")).cast("int")), "cut")
+    ends = cut.groupBy("tangle").agg(F.sum("cut").cast("int").alias("parts"))
+    owners = cut.filter("owner is not null").select("tangle", F.col("owner").alias("own"), "cut", "start")
+    shared = cut.filter("owner is null").select("tangle", F.col("cut").alias("shared"))
+    members = members.join(ends, "tangle").join(shared, "tangle", "left").join(owners, ["tangle", "own"], "left")
+    part = F.coalesce("start", F.lit(0)) + F.pmod(F.xxhash64("id"), F.coalesce("cut", "shared")).cast("int")
+    members = ws.keep(members.select(F.col("id").alias("doc_id"), "own", "tangle", "parts", part.alias("part"), "start", "cut"), "members")
     texts = BlockedBloom.of_ids(members.select("doc_id")).maybe(docs.filter("doc_id is not null").select("doc_id", "text"), "doc_id")
-    met = members.join(texts, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    others = F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda x: F.col("start").isNull() | (x < F.col("start")) | (x >= F.col("start") + F.col("cut")))
+    met = members.join(texts, "doc_id").withColumn("other", F.explode(others))
     met = met.select("tangle", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "doc_id", "own", "text")
 
     def verify(group: pa.Table) -> pa.Table:
@@ -190,7 +203,7 @@ def _linked_blocks(spark: SparkSession, ws: Workspace, hot: DataFrame, docs: Dat
             w = Words(data[off[a] : off[b]], off[a : b + 1] - off[a])
             sets += shingles(w.hashes(), w.of, k)
         size = np.array([len(s) for s in sets])
-        x, y = [], []
+        x, y, joined = [], [], own.copy()
         right = np.flatnonzero(part == high)
         # some documents of long texts at a time, or all of short ones: what is held doesn't grow with the texts
         for some in np.split(right, np.flatnonzero(np.diff(np.cumsum(size[right]) // VALUES)) + 1):
@@ -203,9 +216,11 @@ def _linked_blocks(spark: SparkSession, ws: Workspace, hot: DataFrame, docs: Dat
                 n = last - first
                 at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
                 both = np.bincount(owner[at], minlength=len(sets))
-                j = np.flatnonzero((100 * both >= percent * (size[i] + size - both)) & (both > 0) & (own != own[i]))
-                x += [ids[i]] * len(j)
-                y += ids[j].tolist()
+                for j in np.flatnonzero((100 * both >= percent * (size[i] + size - both)) & (both > 0) & (joined != joined[i])):
+                    if joined[j] != joined[i]:
+                        x.append(ids[i])
+                        y.append(ids[j])
+                        joined[joined == joined[j]] = joined[i]
         return pa.table({"a": pa.array(x, pa.int64()), "b": pa.array(y, pa.int64())})
 
     return ws.keep(met.groupBy("tangle", "low", "high").applyInArrow(verify, "a long, b long").distinct(), "links-hot")

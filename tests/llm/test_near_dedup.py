@@ -93,6 +93,28 @@ def test_rows_of_hot_keys_pass_one_join(spark):
         assert "LeftAnti" not in plan and plan.count("Join Inner") == (2 if shares else 1)
 
 
+def test_links_of_blocks_join_components_only(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    ws = Workspace(spark, "test")
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words[:-1], f"x{i}"]) for i in range(120)]  # all linked with all, in two components of 60 so far
+    texts += [" ".join([*words[:40], *[f"y{i}-{j}" for j in range(20)]]) for i in range(20)]  # linked with none
+    texts += [f"{texts[130]} z", f"{texts[3]} z"]  # linked with one of those, and with all of the first
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    comp = F.when(F.col("doc_id") < 120, F.col("doc_id") % 2).otherwise(F.col("doc_id"))
+    hot = docs.select("doc_id", comp.alias("comp"), F.lit(0).cast("long").alias("least"))
+    links = near_dedup._linked_blocks(spark, ws, hot, docs, 2, 80).collect()
+    want = brute(list(enumerate(texts)), 2, 80)
+    assert {want[r.a][1] == want[r.b][1] for r in links} == {True}
+    top = {i: i % 2 if i < 120 else i for i in range(len(texts))}
+    for r in links:
+        x, y = sorted((top[r.a], top[r.b]))
+        top = {i: x if c == y else c for i, c in top.items()}
+    assert top == {i: c for i, (_, c) in want.items()}
+    # two components of eight parts each: 64 groups join them, and one or two rows for each of the 17 parts that 140 and 141 meet
+    assert len(links) <= 64 + 2 * 2 * 19
+
+
 def test_query_matches_sql(spark, sf_dir):
     c = duckdb.connect()
     c.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
