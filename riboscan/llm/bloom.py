@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riboscan.llm.core import free_name
 
@@ -64,8 +65,12 @@ class BlockedBloom:
             out &= ((rows[:, i] >> bit) & np.uint64(1)).astype(bool)
         return out
 
-    def maybe(self, df: DataFrame, key: str, hit: bool = True) -> DataFrame:
-        """Rows of ``df`` whose key may be in the filter, or (``hit`` false) surely isn't."""
+    def maybe(self, df: DataFrame, key: str, hit: bool = True, then: tuple[Callable, T.StructType] | None = None) -> DataFrame:
+        """Rows of ``df`` whose key may be in the filter, or (``hit`` false) surely isn't.
+
+        then: what the rows' batches go through in the same pass, and the schema
+        it gives; a pass of its own would hold a second Python worker per task.
+        """
         names, hashed = df.columns, free_name(df.columns, "_h")
         shared = df.sparkSession.sparkContext.broadcast(self.bits)
 
@@ -75,4 +80,5 @@ class BlockedBloom:
                 h = np.asarray(batch.column(hashed)).astype(np.int64)
                 yield batch.select(names).filter(pa.array(bloom.hit(h) == hit))
 
-        return df.withColumn(hashed, F.xxhash64(key)).mapInArrow(probe, df.schema)
+        scan, schema = then or (lambda batches: batches, df.schema)
+        return df.withColumn(hashed, F.xxhash64(key)).mapInArrow(lambda batches: scan(probe(batches)), schema)

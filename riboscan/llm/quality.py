@@ -87,8 +87,8 @@ def statistics(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def with_statistics(docs: DataFrame, columns: list[str], name: str = "_stats") -> DataFrame:
-    """``columns`` of ``docs`` (text among them) and ``name``, a struct of FEATURES."""
+def with_statistics(docs: DataFrame, columns: list[str], name: str = "_stats", known: BlockedBloom | None = None) -> DataFrame:
+    """``columns`` of ``docs`` (text among them) and ``name``, a struct of FEATURES; with ``known`` only rows whose doc_id may be in it."""
     struct = T.StructType([T.StructField(f, T.DoubleType()) for f in FEATURES])
     schema = T.StructType([*docs.select(*columns).schema.fields, T.StructField(name, struct)])
     at = columns.index("text")
@@ -101,7 +101,8 @@ def with_statistics(docs: DataFrame, columns: list[str], name: str = "_stats") -
                 stats = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in x.T], names=list(FEATURES))
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, stats], names=[*columns, name])
 
-    return docs.select(*columns).mapInArrow(scan, schema)
+    docs = docs.select(*columns)
+    return docs.mapInArrow(scan, schema) if known is None else known.maybe(docs, "doc_id", then=(scan, schema))
 
 
 Rule = tuple[tuple[int, bool, float], ...]  # (feature, above, threshold): x > t if above, else x <= t
@@ -256,11 +257,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFr
     """Rows of ``docs`` whose score is 0.5 or more, all their columns as they are.
 
     Statistics for learning are taken of the rows that a fixed-size Bloom
-    filter of the labelled ids lets pass; ``learn`` joins them exactly.
+    filter of the labelled ids lets pass, in the pass that probes it; ``learn``
+    joins them exactly.
     """
     ws = Workspace(spark, "quality")
     known = labels.filter("quality is not null").select("doc_id").distinct()
-    stats = ws.keep(with_statistics(BlockedBloom.of_ids(known).maybe(docs.select("doc_id", "text"), "doc_id"), ["doc_id", "text"]).drop("text"), "stats")
+    stats = ws.keep(with_statistics(docs, ["doc_id", "text"], known=BlockedBloom.of_ids(known)).drop("text"), "stats")
     name = free_name(docs.columns, "_stats")
     score = learn(stats, labels).column(name)
     return with_statistics(docs, docs.columns, name).filter(score >= 0.5).select(docs.columns)
