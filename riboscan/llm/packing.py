@@ -7,14 +7,16 @@ minimise padding, where each document is padded to its bucket's bound. Inside
 each bucket, documents form batches of as many rows as the budget holds at the
 padded length.
 
-Batches are numbered inside shards of a bucket. Shards are sized from the
-histogram, so no window holds more than about SHARD documents or SHARD_TOKENS tokens, and only the
-last batch of a shard can be short.
+The rows of a bucket stand in one order, by a hash of doc_id and text, whatever
+the table's size, and are numbered through: batches are consecutive rows, and
+only the last batch of a bucket can be short. So that no task holds a bucket,
+each is cut at fixed values of the hash into PARTS cells, whose rows are
+numbered apart and moved up by the rows of the cells before. Shards are runs of
+whole batches; they change no batch.
 """
 
 from __future__ import annotations
 
-import math
 from collections import deque
 
 import numpy as np
@@ -27,6 +29,9 @@ from riboscan.llm.core import Workspace, free_name, table
 
 #: Distinct lengths held as Python's exact integers at a time; bounds are the same whatever it is.
 EXACT = 16384
+#: Cells of a bucket, a power of two; places are the same whatever it is.
+PARTS = 4096
+#: A shard is as many whole batches as hold at most so many documents and padded tokens, at least one.
 SHARD, SHARD_TOKENS = 20000, 1 << 24
 
 
@@ -110,43 +115,47 @@ def pack(spark: SparkSession, docs: DataFrame, budget: int = 32768, buckets: int
     """A row for each row of ``docs``: where it lies in the batches.
 
     doc_id, n_tokens, bucket (from 0), bucket_tokens (its bound, to which rows
-    are padded), shard, batch (from 0 inside bucket and shard), slot (from 0
+    are padded), shard, batch (both from 0 inside the bucket), slot (from 0
     inside the batch), padding; then the columns ``carry`` of ``docs``, one
     named like a column before it with underscores in front. rows *
     bucket_tokens of a batch is at most ``budget``, but a document over the
-    budget is a batch of its own.
+    budget is a batch of its own. A batch but the last of its bucket has as many
+    rows as ``budget`` allows.
 
     Null and empty texts have 0 tokens. Repeated rows and null doc_ids each
     take a slot; rows of one doc_id and text may swap their slots. An empty
     table gives no rows. Other columns aren't read.
     """
     ws = Workspace(spark, "packing")
-    # rows without a doc_id, or with a common one, are dealt by their texts
+    # rows without a doc_id, or with a common one, are ordered by their texts
     measured = docs.select("doc_id", tokens("text").alias("n_tokens"), F.xxhash64("doc_id", "text").alias("_deal"))
     lengths = ws.keep(measured, "lengths")
     histogram = lengths.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow().sort_by("n_tokens")
     at, count = histogram["n_tokens"].to_numpy(), histogram["n"].to_numpy()
     bounds = optimal_bounds(at, count, buckets)
-    names, taken = [], ["doc_id", "_deal", *PLACES]
+    names, taken = [], ["doc_id", "_deal", "_cell", "_before", *PLACES]
     for c in carry:
         names.append(free_name(taken, c))
         taken.append(names[-1])
     if not bounds:
         longs = [T.StructField(n, T.LongType()) for n in ("doc_id", *PLACES)]
         return spark.createDataFrame([], T.StructType([*longs, *[T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, carry, strict=True)]]))
-    if carry:  # texts go along; measuring them again is cheaper than writing them once more
-        lengths = docs.select(*measured.columns[:1], tokens("text").alias("n_tokens"), F.xxhash64("doc_id", "text").alias("_deal"), *[F.col(c).alias(n) for n, c in zip(names, carry, strict=True)])
-    inside = np.searchsorted(np.array(bounds), at)
-    shards = [max(1, math.ceil(int(count[inside == b].sum()) / SHARD), math.ceil(int((count * at)[inside == b].sum()) / SHARD_TOKENS)) for b in range(len(bounds))]
+    per = [max(1, budget // max(b, 1)) for b in bounds]
+    run = [max(1, min(SHARD // n, SHARD_TOKENS // max(n * b, 1))) for n, b in zip(per, bounds, strict=True)]
     pick = lambda values: F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), (F.col("bucket") + 1).cast("int"))
     bucket = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b < F.col("n_tokens"))).cast("long")
-    dealt = lengths.withColumn("bucket", bucket).withColumn("bucket_tokens", pick(bounds))
-    dealt = dealt.withColumn("shard", F.pmod("_deal", pick(shards)))
-    order = Window.partitionBy("bucket", "shard").orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "_deal")
-    row, per = (F.row_number().over(order) - 1).cast("long"), F.greatest(F.lit(1).cast("long"), F.expr(f"CAST({budget} AS BIGINT) DIV greatest(bucket_tokens, 1)"))
-    placed = dealt.withColumn("batch", row).withColumn("slot", per)
-    batch, slot = F.expr("batch DIV slot").alias("batch"), F.expr("batch % slot").alias("slot")
-    return placed.select("doc_id", "n_tokens", "bucket", "bucket_tokens", "shard", batch, slot, (F.col("bucket_tokens") - F.col("n_tokens")).alias("padding"), *names)
+    cell = F.col("bucket") * PARTS + F.shiftright("_deal", 65 - PARTS.bit_length())  # ascends with _deal
+    dealt = lambda rows: rows.withColumn("bucket", bucket).withColumn("_cell", cell)
+    cells = dealt(lengths).groupBy("bucket", "_cell").agg(F.count("*").alias("n"))  # at most PARTS for each bucket
+    earlier = Window.partitionBy("bucket").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = cells.select("_cell", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    if carry:  # texts go along; measuring them again is cheaper than writing them once more
+        lengths = docs.select(*measured.columns[:1], tokens("text").alias("n_tokens"), F.xxhash64("doc_id", "text").alias("_deal"), *[F.col(c).alias(n) for n, c in zip(names, carry, strict=True)])
+    order = Window.partitionBy("_cell").orderBy("_deal", F.col("doc_id").asc_nulls_first(), "n_tokens")
+    placed = dealt(lengths).withColumn("slot", (F.row_number().over(order) - 1).cast("long")).join(F.broadcast(before), "_cell")
+    placed = placed.withColumn("slot", F.col("slot") + F.col("_before")).withColumn("batch", pick(per)).withColumn("shard", pick(run)).withColumn("bucket_tokens", pick(bounds))
+    shard, batch, slot = F.expr("slot DIV batch DIV shard").alias("shard"), F.expr("slot DIV batch").alias("batch"), F.expr("slot % batch").alias("slot")
+    return placed.select("doc_id", "n_tokens", "bucket", "bucket_tokens", shard, batch, slot, (F.col("bucket_tokens") - F.col("n_tokens")).alias("padding"), *names)
 
 
 def op2_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:

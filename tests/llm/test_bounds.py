@@ -69,3 +69,38 @@ def test_pipeline_bounds_have_no_switch(spark, monkeypatch):
     got = corpus_pipeline.packing(spark, docs, "").select("doc_id", "text", "n_tokens", "bucket_tokens").toPandas().sort_values("doc_id")
     assert got.n_tokens.tolist() == lengths.tolist() and got.text.tolist() == ["w " * n for n in lengths.tolist()]
     assert got.bucket_tokens.sum() == all_splits(*np.unique(lengths, return_counts=True), 8)
+
+
+PLACE = ["bucket", "batch", "slot"]
+
+
+def places(got):
+    """doc_ids in the order of their places."""
+    return got.sort_values(PLACE).doc_id.tolist()
+
+
+def test_pipeline_places_have_no_switch_at_a_number_of_documents(spark):
+    docs = spark.range(packing.SHARD + 1).select(F.col("id").alias("doc_id"), F.lit("w w").alias("text"))
+    more = corpus_pipeline.packing(spark, docs, "").toPandas()
+    less = corpus_pipeline.packing(spark, docs.where(F.col("doc_id") < packing.SHARD), "").toPandas()
+    assert places(less) == [i for i in places(more) if i != packing.SHARD] and len(more) == packing.SHARD + 1
+    for got in (less, more):  # 16,384 rows of two tokens fill a batch
+        assert got.groupby(["bucket", "shard", "batch"]).size().tolist() == [16384, len(got) - 16384]
+
+
+def test_places_do_not_depend_on_shards_and_cells(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.unionByName(docs.select(*[F.lit(None).cast("long").alias(c) if c == "doc_id" else c for c in docs.columns]))
+    want = None
+    for shard, parts in ((20000, 4096), (40, 4096), (40, 2), (1, 16)):
+        monkeypatch.setattr(packing, "SHARD", shard)
+        monkeypatch.setattr(packing, "PARTS", parts, raising=False)
+        got = pack(spark, docs, budget=3000, buckets=3, carry=("text",)).toPandas()
+        for (_, bound), rows in got.groupby(["bucket", "bucket_tokens"]):
+            per = max(1, 3000 // max(bound, 1))
+            assert sorted(zip(rows.batch, rows.slot, strict=True)) == [(i // per, i % per) for i in range(len(rows))]
+            assert rows.groupby("shard").size().max() <= max(shard, per)
+            assert rows.groupby("batch").shard.nunique().max() == 1 and sorted(rows.shard.unique()) == list(range(rows.shard.max() + 1))
+        line = got.sort_values(PLACE)[[*PLACE, "doc_id", "text"]].fillna(-1).values.tolist()
+        assert want is None or line == want
+        want = line
